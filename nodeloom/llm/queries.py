@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nodeloom.llm import bpe, exactdedup, langid, mixing, orderminhash, simhash
+from nodeloom.llm import bpe, exactdedup, langid, license, mixing, orderminhash, pii, simhash, toxicity, warc
 from nodeloom.llm.common import crc_fold
 
 
@@ -44,17 +44,40 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(_table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_order_minhash": op2_order_minhash,
     "op3_simhash": op3_simhash,
     "op4_langid": op4_langid,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_pii": op6_pii,
+    "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
+    "op9_license": op9_license,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
