@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 
 from nodeloom.llm.common import checkpoint_root, cut
 
-ROLL_BYTES = 32 << 20
+ROLL_BYTES = 16 << 20
 #: Bytes of html that a range is meant to hold.
-RANGE_BYTES = 64 << 20
+RANGE_BYTES = 16 << 20
 #: Date of every record (fixed, as it is part of the bytes).
 DATE = "2000-01-01T00:00:00Z"
 MANIFEST = "manifest.json"
