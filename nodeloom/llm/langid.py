@@ -1,14 +1,14 @@
 """Language identification of mixed text by script ranges and Viterbi spans.
 
 Fit. Letters of labelled texts give, for every language, log frequencies of
-letter bigrams and trigrams (word ends included) and the scripts that it uses.
+letter trigrams (word ends included) and the scripts that it uses.
 The fit reads at most ``sample_docs`` labelled rows per language, those with the
 smallest hash of their text, and at most ``sample_chars`` characters of each; both
 bounds are parameters of the fit alone.
 
 Prediction, over whole texts. The script range of a word's first letter leaves
-the languages that use that script; the word's score for each of them is the mean over both
-orders of the log-probability of its n-grams. A Viterbi pass with a switching
+the languages that use that script; the word's score for each of them is the sum of the
+log-probabilities of its trigrams, relative to the best language. A Viterbi pass with a switching
 penalty labels spans of words. The language with most letters in its spans is the
 prediction, its share of all letters the score.
 
@@ -32,8 +32,8 @@ from nodeloom.llm.common import by_batch, crc_fold
 UNDETERMINED = "und"
 SAMPLE_DOCS, SAMPLE_CHARS = 1_500, 4_000
 SWITCH = 12.0
-MEMO_WORDS = 200_000
-ORDERS = (2, 3)
+MEMO_WORDS = 600_000
+ORDERS = (3,)
 
 #: First code points of script blocks (fixed values, Unicode); a letter belongs to the last block that begins at or before it.
 SCRIPTS = (
@@ -71,9 +71,8 @@ class Model:
         if allowed is None:
             return (0.0,) * len(self.languages)
         seen, s = self.scores.get, f"<{w[:64]}>"
-        two, three = self.unseen[2], self.unseen[3]
-        rows = [seen(s[i : i + 2]) or two for i in range(len(s) - 1)] + [seen(s[i : i + 3]) or three for i in range(len(s) - 2)]
-        total = [0.5 * sum(c) for c in zip(*rows)]
+        unseen = self.unseen[3]
+        total = [sum(c) for c in zip(*[seen(s[i : i + 3]) or unseen for i in range(len(s) - 2)])]
         best = max(total)
         return tuple([max(v - best, -20.0) if k in allowed else -20.0 for k, v in enumerate(total)])
 
@@ -102,7 +101,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAM
         return [list(c) for c in zip(*rows)] if rows else [[], [], []]
 
     table = by_batch(few, "lang string, gram string, n long", count).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-    return build([tuple(r) for r in table.where((F.col("n") >= 2) | (F.length("gram") < 3)).select("lang", "gram", "n").toPandas().itertuples(index=False)], switch)
+    return build([tuple(r) for r in table.where((F.col("n") >= 2) | F.col("gram").startswith("\0")).select("lang", "gram", "n").toPandas().itertuples(index=False)], switch)
 
 
 def build(rows: list[tuple[str, str, int]], switch: float = SWITCH) -> Model:
