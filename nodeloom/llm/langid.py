@@ -130,27 +130,26 @@ def build(rows: list[tuple[str, str, int]], switch: float = SWITCH) -> Model:
 
 def viterbi(x: np.ndarray, switch: float) -> np.ndarray:
     """Best language for each word: sums of scores, less ``switch`` at each change."""
-    total = x.sum(axis=0)
-    top = int(total.argmax())
+    top = int(x.sum(axis=0).argmax())
     gain = np.cumsum(x - x[:, [top]], axis=0)
     low = np.minimum.accumulate(np.vstack((np.zeros((1, x.shape[1])), gain[:-1])), axis=0)
-    if (gain - low).max() <= switch / 2:  # no stretch gains enough for any change to pay
+    # A stretch of another language pays one switch at least, a path without ``top`` one less than it has
+    # stretches: if no stretch gains more than a switch, nor a prefix and a suffix together, staying is best.
+    if (gain - low).max() <= switch and gain.max() + (gain[-1] - low).max() <= switch:
         return np.full(len(x), top)
-    best = x[0].copy()
-    back = np.empty(x.shape, np.int8 if x.shape[1] < 128 else np.int32)
-    stay = np.arange(x.shape[1])
-    for i in range(1, len(x)):
-        k = int(best.argmax())
-        turn = best[k] - switch
-        moved = turn > best
-        back[i] = np.where(moved, k, stay)
-        best = np.where(moved, turn, best) + x[i]
-    path = np.empty(len(x), np.int64)
-    k = int(best.argmax())
-    for i in range(len(x) - 1, -1, -1):
-        path[i] = k
-        k = int(back[i, k]) if i else k
-    return path
+    rows = x.tolist()
+    best, steps = rows[0], []
+    for row in rows[1:]:
+        turn = max(best)
+        steps.append((best, best.index(turn), turn - switch))
+        turn -= switch
+        best = [(b if b >= turn else turn) + v for b, v in zip(best, row)]
+    k = best.index(max(best))
+    path = [k]
+    for before, other, turn in reversed(steps):
+        k = k if before[k] >= turn else other
+        path.append(k)
+    return np.array(path[::-1])
 
 
 class Labeller:

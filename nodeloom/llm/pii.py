@@ -25,15 +25,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nodeloom.llm.common import cut
 from nodeloom.llm.orderminhash import let
 
 SUPPORT, THRESHOLD, TERM_LENGTH = 3, 0.8, 4
-#: Candidate term tables up to this many rows are broadcast, larger ones joined by shuffle.
-BROADCAST_TERMS = 200_000
+#: Lists of term or text hashes up to this many rows are broadcast, larger ones joined by shuffle.
+BROADCAST_TERMS = BROADCAST_TEXTS = 200_000
 KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -110,29 +110,35 @@ def find_base(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), *[c.alias(k) for k, c in base_spans(text).items()])
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD, term_length: int = TERM_LENGTH) -> tuple[DataFrame, DataFrame] | None:
-    """(doc_id, h, entity) of documents with an entity that has evidence, and (entity, term) that disclose it; None if there is no such entity."""
+def _among(rows: DataFrame, keys: DataFrame, column: str, most: int) -> DataFrame:
+    """Rows whose key is listed: by broadcast up to ``most`` keys, by shuffle beyond."""
+    return rows.join(F.broadcast(keys) if keys.count() <= most else keys, column, "left_semi")
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD, term_length: int = TERM_LENGTH) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Evidence, or None if no entity has any: (doc_id, h, e) of documents with such an entity, (e, t) of entities and the terms that disclose them, as hashes, and (h, text) of the documents."""
     values = F.flatten(F.array(*[F.transform(k, lambda s: F.concat(F.lit(k + ":"), F.lower(s["text"]))) for k in KINDS]))  # noqa: B023
-    held = found.where(" or ".join(f"size({k}) > 0" for k in KINDS)).select("doc_id", "h", F.explode(F.array_distinct(values)).alias("entity"))
-    known = held.groupBy("entity").agg(F.count_distinct("h").alias("n_e")).where(F.col("n_e") >= support)
-    known = cut(known)
+    held = found.where(" or ".join(f"size({k}) > 0" for k in KINDS)).select("doc_id", "h", F.explode(F.array_distinct(values)).alias("entity")).select("doc_id", "h", F.xxhash64("entity").alias("e"))
+    known = cut(held.groupBy("e").agg(F.count_distinct("h").alias("n_e")).where(F.col("n_e") >= support))
     if known.isEmpty():
         return None
-    held = cut(held.join(known, "entity").select("doc_id", "h", "entity", "n_e"))
+    held = cut(held.join(known, "e").select("doc_id", "h", "e", "n_e").distinct())
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.array_distinct(F.filter(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.length(w) >= term_length))
-    rows = docs.select(F.xxhash64(text).alias("h"), words.alias("words"))
     # each distinct text once, with what it holds
-    texts = held.select("h", "entity", "n_e").distinct()
-    with_words = rows.join(texts.select("h").distinct(), "h").dropDuplicates(["h"])
-    pairs = cut(texts.join(with_words, "h").select("entity", "n_e", F.explode("words").alias("term")).groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support))
-    terms = cut(pairs.select("term").distinct())
-    few = terms.count() <= BROADCAST_TERMS
-    everywhere = rows.select("h", F.explode("words").alias("term")).join(F.broadcast(terms) if few else terms, "term").groupBy("term").agg(F.count_distinct("h").alias("n_t"))
-    total = found.agg(F.count_distinct("h")).first()[0]
-    share = F.log(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(float(total)) / F.col("n_e"))
-    disclosing = pairs.join(everywhere, "term").where((F.col("n_e") < total) & (share >= threshold)).select("entity", "term")
-    return held.select("doc_id", "h", "entity"), cut(disclosing)
+    own = cut(held.select("h").distinct())
+    own_text = cut(_among(docs.select(F.xxhash64(text).alias("h"), text.alias("text")), own, "h", BROADCAST_TEXTS).dropDuplicates(["h"]))
+    terms_of = lambda t: F.array_distinct(F.transform(F.filter(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.length(w) >= term_length), lambda w: F.xxhash64(F.lower(w))))
+    own_terms = own_text.select("h", F.explode(terms_of(F.col("text"))).alias("t"))
+    total = float(found.agg(F.count_distinct("h")).first()[0])
+    # disclosure reaches the threshold only for terms in at most so many texts; those that are in more of these very texts need no further count
+    at_most = F.col("n_et") * F.pow(F.lit(total) / F.col("n_e"), F.lit(1 - threshold)) * (1 + 1e-9)
+    here = own_terms.groupBy("t").agg(F.count("*").alias("n_here"))
+    pairs = held.select("h", "e", "n_e").distinct().join(own_terms, "h").groupBy("e", "n_e", "t").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
+    pairs = cut(pairs.join(here, "t").where((F.col("n_here") <= at_most) & (F.col("n_e") < total)).select("e", "n_e", "t", "n_et"))
+    terms = cut(pairs.select("t").distinct())
+    everywhere = _among(docs.select(F.xxhash64(text).alias("h"), F.explode(terms_of(text)).alias("t")), terms, "t", BROADCAST_TERMS).groupBy("t").agg(F.count_distinct("h").alias("n_t"))
+    share = F.log(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(total) / F.col("n_e"))
+    return held.select("doc_id", "h", "e"), cut(pairs.join(everywhere, "t").where(share >= threshold).select("e", "t")), own_text
 
 
 def term_spans(docs: DataFrame, found: DataFrame, **how) -> DataFrame:
@@ -141,15 +147,16 @@ def term_spans(docs: DataFrame, found: DataFrame, **how) -> DataFrame:
     none = "array<struct<start:int,end:int,text:string>>"
     if evidence is None:
         return docs.sparkSession.createDataFrame([], f"doc_id long, h long, term {none}")
-    held, disclosing = evidence
-    held = held.distinct()
-    text = F.coalesce(F.col("text"), F.lit(""))
+    held, disclosing, own_text = evidence
     # words of each distinct text are placed once, copies take the result over by their hash
-    of_text = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).join(held.select("h").distinct(), "h").dropDuplicates(["h"])
-    placed = of_text.select("h", F.explode(located(F.lower(F.col("text")), WORD)).alias("span"))
-    hits = placed.withColumn("term", F.col("span.text")).join(held.select("h", "entity").distinct().join(disclosing, "entity").select("h", "term").distinct(), ["h", "term"])
+    wanted = cut(held.select("h", "e").distinct().join(disclosing, "e").select("h", "t").distinct())
+    pieces = F.arrays_zip(F.split("text", WORD, -1).alias("gap"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("word"))
+    run = F.sum(F.length("p.gap") + F.coalesce(F.length("p.word"), F.lit(0))).over(Window.partitionBy("h").orderBy("pos")).cast("int")
+    placed = own_text.join(wanted.select("h").distinct(), "h", "left_semi").select("h", F.posexplode(pieces).alias("pos", "p")).select("h", "p", run.alias("end")).where("p.word is not null")
+    span = F.struct((F.col("end") - F.length("p.word")).alias("start"), F.col("end"), F.col("p.word").alias("text"))
+    hits = placed.select("h", span.alias("span"), F.xxhash64(F.lower("p.word")).alias("t")).join(wanted, ["h", "t"], "left_semi")
     # words inside a base span stay with it
-    bases = found.dropDuplicates(["h"]).select("h", F.flatten(F.array(*KINDS)).alias("bases"))
+    bases = found.where(" or ".join(f"size({k}) > 0" for k in KINDS)).dropDuplicates(["h"]).select("h", F.flatten(F.array(*KINDS)).alias("bases"))
     free = hits.join(bases, "h").where(~F.exists("bases", lambda b: (b["start"] < F.col("span.end")) & (F.col("span.start") < b["end"])))
     spans = free.groupBy("h").agg(F.array_sort(F.collect_list("span")).alias("term"))
     return held.select("doc_id", "h").distinct().join(spans, "h").select("doc_id", "h", "term")
