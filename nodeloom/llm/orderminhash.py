@@ -31,7 +31,7 @@ K, SLOTS, TAKE = 3, 64, 2
 #: Low bits of a long that hold a word's place in its text (texts of up to 2**26 words); the others hold a hash.
 PLACE_BITS = 26
 #: Ranges of doc_id that the neighbour search is dealt into, for each million rows, and at most.
-RANGES_PER_MILLION, RANGES_LEAST, RANGES_MOST = 64, 32, 4096
+RANGES_PER_MILLION, RANGES_LEAST, RANGES_MOST = 400, 32, 16384
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

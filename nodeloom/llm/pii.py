@@ -18,7 +18,8 @@ which is 1 when the term occurs in the entity's documents only. Terms at or abov
 have no corpus evidence and add no terms. ``sanitise`` generalises base spans to
 their kind and removes terms.
 
-Null texts count as empty. Rows that repeat id and text get the same result each.
+Null texts count as empty. Rows that repeat id and text get the same result each
+(and count as often as they occur among the texts that hold a term).
 """
 
 from __future__ import annotations
@@ -136,7 +137,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
     pairs = held.select("h", "e", "n_e").distinct().join(own_terms, "h").groupBy("e", "n_e", "t").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
     pairs = cut(pairs.join(here, "t").where((F.col("n_here") <= at_most) & (F.col("n_e") < total)).select("e", "n_e", "t", "n_et"))
     terms = cut(pairs.select("t").distinct())
-    everywhere = _among(docs.select(F.xxhash64(text).alias("h"), F.explode(terms_of(text)).alias("t")), terms, "t", BROADCAST_TERMS).groupBy("t").agg(F.count_distinct("h").alias("n_t"))
+    # one row of each text is counted, so that counts add up in the tasks and only sums are shuffled
+    copies = cut(found.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("_first")).where("n > 1").select(F.col("h").alias("_h"), "_first"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    rows = rows.join(F.broadcast(copies) if copies.count() <= BROADCAST_TEXTS else copies, F.col("h") == F.col("_h"), "left").where(F.col("_h").isNull() | F.col("doc_id").eqNullSafe(F.col("_first")))
+    everywhere = _among(rows.select(F.explode(terms_of(F.col("text"))).alias("t")), terms, "t", BROADCAST_TERMS).groupBy("t").agg(F.count("*").alias("n_t"))
     share = F.log(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(total) / F.col("n_e"))
     return held.select("doc_id", "h", "e"), cut(pairs.join(everywhere, "t").where(share >= threshold).select("e", "t")), own_text
 
