@@ -27,9 +27,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df once in the shared checkpoint folder and go on from there, so that no later stage depends on executors that may be lost."""
+def cut(df: DataFrame, compact: bool = False) -> DataFrame:
+    """Materialise df once in the shared checkpoint folder and go on from there, so that no later stage depends on executors that may be lost.
+
+    compact: gather the narrow results of many small tasks in one file a core.
+    """
     spark = df.sparkSession
+    df = df.repartition(spark.sparkContext.defaultParallelism) if compact else df
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(checkpoint_root(spark))

@@ -122,7 +122,7 @@ class Shard:
 def references(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
     """page_id, refers_to of the pages that become revisits. Works on digests only."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    marked = cut(pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("bytes")).where(F.col("bytes") >= revisit_from).select("page_id", "digest"))
+    marked = cut(pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("bytes")).where(F.col("bytes") >= revisit_from).select("page_id", "digest"), compact=True)
     first = marked.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
     return marked.join(first, "digest").where("page_id <> refers_to").select("page_id", "refers_to", "digest").distinct()
 
@@ -159,7 +159,7 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, revisit_f
             columns = list(zip(*shard.done))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()))], names=["file", "records", "bytes", "sha256", "first_id", "last_id"])
 
-    manifest = cut(dealt.mapInArrow(run, "file string, records long, bytes long, sha256 string, first_id long, last_id long"))
+    manifest = cut(dealt.mapInArrow(run, "file string, records long, bytes long, sha256 string, first_id long, last_id long"), compact=True)
     with files.open_output_stream(f"{path}/_tmp-{MANIFEST}") as out:
         for row in manifest.orderBy("file").toLocalIterator():  # one small row a file
             out.write((json.dumps(row.asDict()) + "\n").encode())
