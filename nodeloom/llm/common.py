@@ -67,3 +67,15 @@ def by_batch(df: DataFrame, schema: str, work: Callable[[list[list]], list[list]
 def crc_fold(doc_id: Column) -> Column:
     """Fold 0 to 4 of a document: crc32 of the id as text, modulo 5. Fold 0 is held out of every fit."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of df has, whatever columns it brings along."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

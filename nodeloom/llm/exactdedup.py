@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nodeloom.llm.common import ascii_lower, cut
+from nodeloom.llm.common import ascii_lower, cut, fresh
 
 SUPPORT = 1e-3
 
@@ -54,9 +54,10 @@ def exact_duplicates(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 def keep_one(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """Rows of docs whose text stays, with all their columns."""
-    stays = exact_duplicates(docs, support).where("kept").select(F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_digest"))
-    left = docs.withColumn("_row_digest", F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    joined = left.join(stays, (F.col("_row_digest") == F.col("_stay_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_stay_id")))
+    stay_id, stay_digest, digest, nth = fresh(docs, "_stay_id", "_stay_digest", "_row_digest", "_nth")
+    stays = exact_duplicates(docs, support).where("kept").select(F.col("doc_id").alias(stay_id), F.col("text_sha256").alias(stay_digest))
+    left = docs.withColumn(digest, F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    joined = left.join(stays, (F.col(digest) == F.col(stay_digest)) & F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)))
     # repeated rows of one id and one text both meet their digest's row: one of them is enough
-    nth = F.row_number().over(Window.partitionBy("_row_digest").orderBy("doc_id"))
-    return joined.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+    first = F.row_number().over(Window.partitionBy(digest).orderBy("doc_id"))
+    return joined.withColumn(nth, first).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nodeloom.llm.common import WORD_PATTERN, cut
+from nodeloom.llm.common import WORD_PATTERN, cut, fresh
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Steps of the key's distribution in which sizes are summed first.
@@ -60,8 +60,8 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, most_epochs
 
 def sized(docs: DataFrame, seed: int = 17) -> DataFrame:
     """Narrow table of all rows: doc_id, source, size, key (ascending draw order), step."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words(F.col("text")).alias("size"), "text", F.xxhash64("doc_id", F.lit(seed)).alias("h"), F.xxhash64("text").alias("tie"))
-    u = (F.shiftrightunsigned("h", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words(F.col("text")).alias("size"), "text", F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit(f":{seed}")).cast("binary"), 256).alias("h"), F.xxhash64("text").alias("tie"))
+    u = (F.coalesce(F.conv(F.substring("h", 1, 13), 16, 10).cast("long"), F.lit(0)) + F.lit(0.5)) / F.lit(float(1 << 52))
     keyed = base.select("doc_id", "source", "size", "tie", (-F.log(u) / quality(F.col("text"), F.col("size"))).alias("key"))
     return keyed.withColumn("step", F.floor((1 - F.exp(-F.col("key"))) * STEPS).cast("int"))
 
@@ -92,8 +92,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most_epochs: int =
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """Rows of docs as often as the mix takes them, with all their columns."""
-    times = mix(docs, **how).where("times > 0").groupBy(F.col("doc_id").alias("_mix_id"), F.col("tie").alias("_mix_tie")).agg(F.sum("times").alias("_mix_sum"), F.count("*").alias("_mix_rows"))
-    joined = docs.withColumn("_row_tie", F.xxhash64("text")).join(times, F.col("doc_id").cast("long").eqNullSafe(F.col("_mix_id")) & (F.col("_row_tie") == F.col("_mix_tie")))
-    # rows equal in id and text share their sum evenly
-    each = F.round(F.col("_mix_sum") / F.col("_mix_rows")).cast("int")
-    return joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.greatest(each, F.lit(1))))).select(*docs.columns)
+    of_id, of_tie, total, rows, tie, copy = fresh(docs, "_mix_id", "_mix_tie", "_mix_sum", "_mix_rows", "_row_tie", "_mix_copy")
+    times = mix(docs, **how).groupBy(F.col("doc_id").alias(of_id), F.col("tie").alias(of_tie)).agg(F.sum("times").alias(total), F.count("*").alias(rows)).where(F.col(total) > 0)
+    joined = docs.withColumn(tie, F.xxhash64("text")).join(times, F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (F.col(tie) == F.col(of_tie)))
+    # rows equal in id and text take their sum in turn
+    turn = F.row_number().over(Window.partitionBy("doc_id", tie).orderBy(F.col("source").asc_nulls_last()))
+    own = F.floor(F.col(total) / F.col(rows)) + (turn <= F.col(total) % F.col(rows)).cast("long")
+    repeated = joined.withColumn(copy, own.cast("int")).where(F.col(copy) > 0)
+    return repeated.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nodeloom.llm import bpe, exactdedup, langid, license, mixing, orderminhash, pii, simhash, toxicity, warc
+from nodeloom.llm import bpe, exactdedup, langid, license, license_sql, mixing, orderminhash, other_sql, pii, simhash, toxicity, warc
 from nodeloom.llm.common import crc_fold
 
 
@@ -89,4 +89,7 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
         from n
     """,
+    "op7_warc": other_sql.warc_sql(),
+    "op8_mixing": other_sql.mixing_sql(),
+    "op9_license": license_sql.scan_sql(),
 }

@@ -15,7 +15,8 @@ effect, but no group emits all its pairs. A cell with more points than
 ``cell_rows`` is split into blocks, and each pair of blocks is a cell of its own.
 
 Null texts count as empty, empty texts get fingerprint zero and link like any
-other; equal ids with different texts are different rows of one node.
+other; equal ids with different texts are different rows of one node. Rows without an id
+link to nothing and have no component.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nodeloom.llm.common import by_batch, cut
+from nodeloom.llm.common import by_batch, cut, fresh
 from nodeloom.llm.components import connected_components
 
 #: Points of one cell that are compared in one piece.
@@ -123,7 +124,7 @@ def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataF
     """Links (a, b) that connect all fingerprints within ``most`` bits. points: distinct fp, node."""
     n = most + 3
     masks = _bands(n)
-    point = points.select("fp", "node", embed(F.col("fp")).alias("p"))
+    point = points.where("node is not null").select("fp", "node", embed(F.col("fp")).alias("p"))
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.xxhash64(F.lit(k), F.col("p").bitwiseAND(F.lit(_signed(sum(masks[i] for i in c))))).alias("cell")) for k, c in enumerate(combinations(range(n), 3))])
     cells = point.select("fp", "node", F.explode(kinds).alias("c")).select(F.col("c.cell").alias("cell"), "fp", "node")
     hot = cells.groupBy("cell").count().where(F.col("count") > cell_rows).select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks"))
@@ -167,8 +168,8 @@ def near_duplicates(docs: DataFrame, most: int = 4, shingle: int = 4, cell_rows:
 
 def keep_one(docs: DataFrame, most: int = 4, shingle: int = 4) -> DataFrame:
     """The document with the smallest doc_id of each group of near-duplicates, with all its columns; of rows with one id and text, one."""
-    found = near_duplicates(docs, most, shingle)
-    stays = found.where("doc_id <=> component_id").groupBy(F.col("component_id").alias("_stay_id")).agg(F.lit(True).alias("_stay"))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_stay_id")), "left_semi")
-    return kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    stay_id, nth = fresh(docs, "_stay_id", "_nth")
+    stays = near_duplicates(docs, most, shingle).where("doc_id <=> component_id").select(F.col("component_id").alias(stay_id)).distinct()
+    kept = docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
+    return kept.withColumn(nth, first).where(F.col(nth) == 1).drop(nth)
