@@ -4,10 +4,11 @@ A 64-bit fingerprint is cut into 32 segments of two bits; the number of bits set
 in each segment makes a point in a 32-dimensional grid. Moving one bit moves one
 coordinate by one, so the Manhattan distance of two points never exceeds the
 Hamming distance of the fingerprints. The range join "Manhattan distance at most
-d" uses the grid: the coordinates are dealt into d+3 bands, at most d of which
-can differ, so two points in range share a cell (all coordinates) of at least
-three bands. Points meet in the cells of band triples, pairs out of Manhattan
-range are passed over, the others are verified on the bits.
+d" uses the grid: the coordinates are dealt into d+k bands, at most d of which can
+differ, so two points in range share a cell (all coordinates) of at least k bands.
+Points meet in the cells of each choice of k bands (k is 3, up to 6 for very many
+points), pairs out of Manhattan range are passed over, the others are verified on
+the bits.
 
 Rows of a cell are compared in sorted runs with vectorised arithmetic, and only
 a spanning forest of a run's links leaves the task: components keep every link's
@@ -21,6 +22,7 @@ link to nothing and have no component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -78,6 +80,12 @@ def _bands(n: int) -> list[int]:
     return [sum(3 << 2 * s for s in range(k * 32 // n, (k + 1) * 32 // n)) for k in range(n)]
 
 
+def shared_bands(points: int, most: int) -> int:
+    """How many bands make a cell, 3 to 6: more for more points, so that a cell of unrelated points keeps to some dozens."""
+    bits = -32 * math.log2(3 / 8)  # two points agree in a two-bit count with probability 3/8
+    return next((k for k in range(3, 6) if points <= 64 * 2 ** (bits * k / (most + k))), 6)
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -122,10 +130,11 @@ def _links(cell: np.ndarray, fp: np.ndarray, node: np.ndarray, most: int) -> tup
 
 def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Links (a, b) that connect all fingerprints within ``most`` bits. points: distinct fp, node."""
-    n = most + 3
+    shared = shared_bands(points.count(), most)
+    n = most + shared
     masks = _bands(n)
     point = points.where("node is not null").select("fp", "node", embed(F.col("fp")).alias("p"))
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.xxhash64(F.lit(k), F.col("p").bitwiseAND(F.lit(_signed(sum(masks[i] for i in c))))).alias("cell")) for k, c in enumerate(combinations(range(n), 3))])
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.xxhash64(F.lit(k), F.col("p").bitwiseAND(F.lit(_signed(sum(masks[i] for i in c))))).alias("cell")) for k, c in enumerate(combinations(range(n), shared))])
     cells = point.select("fp", "node", F.explode(kinds).alias("c")).select(F.col("c.cell").alias("cell"), "fp", "node")
     hot = cells.groupBy("cell").count().where(F.col("count") > cell_rows).select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks"))
     hot = cut(hot)
