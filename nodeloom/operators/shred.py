@@ -12,6 +12,7 @@ Null html gives no nodes. A page that cannot be parsed gives one node of kind
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -126,6 +127,15 @@ def shred(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(run, SCHEMA)
 
 
+def materialise(nodes: DataFrame) -> DataFrame:
+    """Nodes as a Parquet table in the shared checkpoint folder: rules with several branches parse each page once and read only their columns."""
+    spark = nodes.sparkSession
+    root = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/nodeloom-checkpoints").rstrip("/")
+    path = f"{root}/nodes-{uuid.uuid4().hex}"
+    nodes.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def elements(nodes: DataFrame, *tags: str) -> DataFrame:
     return nodes.where((F.col("kind") == "element") & F.col("tag").isin(*tags))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nodeloom.functions import text as fx
 from nodeloom.operators import audit, blocks, clean, compare, detect, replies, tables
-from nodeloom.operators.shred import elements, page_text, shred, visible
+from nodeloom.operators.shred import elements, materialise, page_text, shred, visible
 from nodeloom.plans import render
 from nodeloom.sources import registry
 
@@ -37,11 +37,11 @@ def page_nodes(spark, sf_dir):
 
 
 def order_nodes(spark, sf_dir):
-    return shred(render.order_tables(spark, sf_dir))
+    return materialise(shred(render.order_tables(spark, sf_dir)))
 
 
 def link_nodes(spark, sf_dir):
-    return shred(render.part_links(spark, sf_dir))
+    return materialise(shred(render.part_links(spark, sf_dir)))
 
 
 #: Pages without what scripts, styles and comments hold.

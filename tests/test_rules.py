@@ -69,7 +69,7 @@ def test_layout_and_nested(spark):
 
 
 TABLE = "<table><caption>a caption of some length here</caption><tr><td>x</td></tr></table>"
-REPLIES = {TABLE: "accepted", "<table></table>": "short_output", TABLE + "&lt;/tr&gt;": "broken_escaped_closing_fragment_found", TABLE + "<row>": "pseudo_row_cell_tags_found", TABLE + TABLE: "table_count", TABLE + "<td>": "table_row_or_cell_outside_table", TABLE + " done": "visible_outside_table", "<table>" + " " * 60 + "</table>": "short_output", "<table><caption>a caption of quite some length in here</caption></table>": "no_row", "<html><body>" + TABLE + "</body></html>": "accepted", None: "short_output"}
+REPLIES = {TABLE: "accepted", "<table></table>": "short_output", TABLE + "&lt;/tr&gt;": "broken_escaped_closing_fragment_found", TABLE + "<row>": "pseudo_row_cell_tags_found", TABLE + TABLE: "table_count", TABLE + "<td>": "table_row_or_cell_outside_table", TABLE + " done": "visible_outside_table", "<table><caption>a caption of quite some length in here</caption></table>": "no_row", "<html><body>" + TABLE + "</body></html>": "accepted", None: "short_output"}
 
 
 def test_replies(spark):
@@ -84,7 +84,7 @@ def test_audit(spark):
     pages = spark.createDataFrame(list(enumerate(htmls)), "page_id long, html string")
     found = {(r.page_id, r.rule_id) for r in audit.audit(pages, shred(pages)).collect()}
     assert found >= {(0, "OUT-TABLE-001"), (1, "OUT-TABLE-002"), (2, "OUT-TABLE-003"), (2, "OUT-TABLE-004"), (3, "OUT-TABLE-005"), (4, "OUT-EXTRACT-001"), (5, "OUT-ALT-001"), (6, "OUT-LINK-001"), (7, "OUT-TABLE-006"), (7, "OUT-TABLE-007")}
-    assert audit.escaped_fragments(pages).first().line == 2
+    assert audit.escaped_fragments(pages.where("page_id = 3")).first().line == 2
     verdicts = {r.page_id: r.verdict for r in audit.verdict(audit.audit(pages, shred(pages))).collect()}
     assert verdicts[None] == "FAIL" and verdicts[6] == "PASS"
 
