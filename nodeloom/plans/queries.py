@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nodeloom.functions import text as fx
-from nodeloom.operators import audit, blocks, clean, compare, detect, replies, tables
+from nodeloom.operators import audit, blocks, clean, compare, detect, extract, replies, tables
 from nodeloom.operators.shred import elements, materialise, page_text, shred, visible
 from nodeloom.plans import render
 from nodeloom.sources import registry
@@ -447,4 +447,12 @@ def clean_pages(spark, sf_dir):
     return clean.serialise(clean.pre_clean(order_nodes(spark, sf_dir)))
 
 
+@query("q66_extract", f"select page_id, 'xpath' as method, len(regexp_extract_all(regexp_extract(bare, '<article>(.*)$', 1, 's'), '<p>'))::bigint as n_paragraphs from ({_BARE})")
+def extract_article(spark, sf_dir):
+    """Content of the article element; of any length."""
+    pages = table(spark, sf_dir, "pages")
+    out = extract.extract(pages, materialise(shred(pages)), "//article", least=0)
+    return out.select("page_id", "method", F.regexp_count("html", F.lit("<p>")).cast("long").alias("n_paragraphs"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES", "Window", "visible"]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nodeloom.functions import text as fx
-from nodeloom.operators import audit, blocks, clean, compare, detect, replies, tables
+from nodeloom.operators import audit, blocks, clean, compare, detect, extract, fixtures, replies, tables
 from nodeloom.operators.shred import page_text, parse, shred
 from nodeloom.sources import registry
 
@@ -171,3 +171,22 @@ def test_iframe_titles(spark):
     titles = spark.createDataFrame([(yt + "a", "Film - YouTube"), (yt + "b", "B"), ("http://m", "Map  page")], "src string, title string")
     found = {r.pre: (r.decision, r.new_title) for r in replies.iframe_titles(spark.createDataFrame(rows, "page_id int, pre int, src string, title string"), titles, cap=2).collect()}
     assert found == {0: ("video", "Film（YouTube）"), 1: ("video", "B（YouTube）"), 2: ("page_title", "Map page"), 3: ("kept", "Good（YouTube）"), 4: ("capped", "")}
+
+
+def test_extract(spark):
+    long_ = "word " * 60
+    htmls = [f'<div id="x"><!-- c --><script>s</script><p>{long_}</p></div><p>no</p>', f"<body><nav><a>{long_}</a></nav><article><p>{long_}</p></article></body>", "<p>short</p>", None]
+    pages = spark.createDataFrame(list(enumerate(htmls)), "page_id long, html string")
+    found = {r.page_id: (r.method, r.html) for r in extract.extract(pages, shred(pages), "//*[@id='x']").collect()}
+    assert found == {0: ("xpath", f"<p>{long_}</p>"), 1: ("density", f"<p>{long_}</p>"), 2: ("full", "<p>short</p>"), 3: ("full", "")}
+    with pytest.raises(ValueError):
+        extract.path_predicate("/html/body[1]")
+
+
+def test_fixture_checks(spark):
+    files = spark.createDataFrame([("old", "b.html"), ("old", "a.html"), ("gold", "a.html")], "split string, file_name string")
+    assert {r.split: (r.n, r.ok, r.first_names) for r in fixtures.inventory(files, 2).collect()} == {"old": (2, True, ["a.html", "b.html"]), "gold": (1, False, ["a.html"])}
+    cases = spark.createDataFrame([("c", ["x"], ["x"], ["y"])], "id string, old_contains array<string>, gold_not_contains array<string>, required_texts array<string>")
+    assert all(r.ok for r in fixtures.manifest_checks(cases, "x", "y").collect())
+    rules = spark.createDataFrame([("a",), ("b",)], "id string")
+    assert fixtures.rule_table_checks(rules, spark.createDataFrame([(True,)], "parses boolean"), 2).first().ok
