@@ -119,7 +119,7 @@ class WordBpe:
         known = self.fits.get(key)
         if known is None:
             x, y = self.text_of[a], self.text_of[b]
-            if len(self.fits) >= 4 * MEMO_WORDS:
+            if len(self.fits) >= MEMO_WORDS:
                 self.fits.clear()
             known = self.fits[key] = self.merged(x + y) == [x, y]
         return known

@@ -45,6 +45,16 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+#: Bytes of rows that travel to a Python worker at once, unless the session says otherwise than by default.
+BATCH_BYTES, BATCH_SETTING, BATCH_DEFAULT = "8m", "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "64m", "64MB")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of whole texts small: a batch exists in the JVM and twice in the worker."""
+    if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT[0]) in BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def by_batch(df: DataFrame, schema: str, work: Callable[[list[list]], list[list]], setup: Callable[[], None] | None = None) -> DataFrame:
     """Run work(columns) -> columns over df in slices of ROWS_AT_ONCE rows through Arrow; nulls arrive as None."""
 
@@ -61,6 +71,7 @@ def by_batch(df: DataFrame, schema: str, work: Callable[[list[list]], list[list]
     from pyspark.sql.types import StructType
 
     fields = to_arrow_schema(StructType.fromDDL(schema))
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -27,12 +27,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nodeloom.llm.common import by_batch, crc_fold
+from nodeloom.llm.common import bound_batches, by_batch, crc_fold
 
 UNDETERMINED = "und"
 SAMPLE_DOCS, SAMPLE_CHARS = 1_500, 4_000
 SWITCH = 12.0
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
 ORDERS = (3,)
 
 #: First code points of script blocks (fixed values, Unicode); a letter belongs to the last block that begins at or before it.
@@ -207,6 +207,7 @@ def keep_known(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """Rows of docs in a learned language that covers at least ``least`` of their letters, with all their columns."""
     from pyspark.sql.types import StructType
 
+    bound_batches(docs.sparkSession)
     schema = docs.schema
     at = docs.columns.index("text")
     held: dict[str, Labeller] = {}

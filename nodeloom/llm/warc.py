@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nodeloom.llm.common import checkpoint_root, cut
+from nodeloom.llm.common import bound_batches, checkpoint_root, cut
 
 ROLL_BYTES = 16 << 20
 #: Bytes of html that a range is meant to hold.
@@ -130,6 +130,7 @@ def references(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
 def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, revisit_from: int = 0) -> DataFrame:
     """Write pages (page_id, url, html) as archives in a new folder and return its manifest."""
     spark = pages.sparkSession
+    bound_batches(spark)
     files, path = store(folder)
     files.create_dir(path, recursive=True)
     revisits = references(pages, revisit_from).select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "refers_to", "digest", F.lit(0).alias("kind"))
@@ -211,7 +212,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                         number = lambda k: int(head[k]) if head.get(k) else None  # noqa: B023, E731
                         rows.append((number("X-Page-Id"), head["WARC-Target-URI"], kind, number("X-Payload-Length"), digest, number("X-Refers-To-Page-Id"), html))
                         size += len(block)
-                        if len(rows) >= 512 or size > 8 << 20:
+                        if len(rows) >= 512 or size > 4 << 20:
                             yield pack(rows)
                             rows, size = [], 0
                 if rows:
