@@ -298,15 +298,14 @@ def layout_divs(spark, sf_dir):
 
 
 @query("q47_chunks", """
-    with recursive l as (select doc_id, generate_subscripts(s, 1) as i, unnest(s) as line from (select doc_id, list_filter(string_split(text, chr(10)), lambda x: length(x) > 0 and length(x) <= 2000) as s from documents)),
+    with recursive l as (select doc_id, generate_subscripts(s, 1) as i, unnest(s) as line from (select doc_id, flatten(list_transform(list_filter(string_split(text, chr(10)), lambda x: length(x) > 0), lambda x: list_transform(range(0, length(x), 2000), lambda i: substring(x, i + 1, 2000)))) as s from documents)),
     c(doc_id, i, chunk, len) as (
         select doc_id, i, 0, length(line) from l where i = 1
         union all select l.doc_id, l.i, case when c.len + length(l.line) > 2000 then c.chunk + 1 else c.chunk end, case when c.len + length(l.line) > 2000 then length(l.line) else c.len + length(l.line) end from c join l on l.doc_id = c.doc_id and l.i = c.i + 1)
     select doc_id, chunk::int as block_no, max(len)::int as raw_len from c group by 1, 2
 """)
 def chunk_lines(spark, sf_dir):
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) <= 2000)
-    return blocks.chunks(table(spark, sf_dir, "documents"), "doc_id", lines, 2000).select("doc_id", "block_no", "raw_len")
+    return blocks.chunks(table(spark, sf_dir, "documents"), "doc_id", F.split("text", "\n"), 2000).select("doc_id", "block_no", "raw_len")
 
 
 @query("q48_chunk_limits", "select page_id, true as fits, ((length(html) + 1999) // 2000)::bigint as n_chunks from pages")

@@ -129,6 +129,32 @@ def test_packing(spark):
     assert d.select(blocks.pack(F.col("pieces"), 5).alias("c")).first().c == ["aaabb", "ccccc", "ccccc", "ccd"]
 
 
+def cut(spark, html, limit):
+    return [r.html for r in blocks.structural(nodes(spark, html), limit).orderBy("block_no").collect()]
+
+
+def test_structural_chunks(spark):
+    table = "<table><caption>c</caption><tr><td>1</td></tr></table>"
+    assert cut(spark, f"<head><title>t</title></head><body><p>a</p><p>更新：2024年01月02日</p><p>b</p><h4>d</h4>{table}<h4>e</h4>{table}<p>z</p></body>", len(table) + 11) == ["<p>a</p><p>b</p>", f"<h4>d</h4>{table}", f"<h4>e</h4>{table}", "<p>z</p>"]
+    # opened elements lose their tag, their children are packed apart from what stands around; long leaves are sliced
+    assert cut(spark, "<i>1</i><div><p>aaaa</p><p>bbbb</p>cc</div><i>2</i>", 22) == ["<i>1</i>", "<p>aaaa</p><p>bbbb</p>", "cc", "<i>2</i>"]
+    assert cut(spark, "<p>abcdefghijklm</p>x", 5) == ["abcde", "fghij", "klm", "x"]
+    assert cut(spark, "<p>a&amp;b</p><!-- c --><br>", 100) == ["<p>a&amp;b</p><!-- c --><br>"]
+    assert cut(spark, "", 5) == []
+
+
+def test_structural_chunks_keep_the_text(spark):
+    html = "<div>" + "".join(f'<section id="s&quot;{i}"><h3>h{i} &lt;</h3><p>{"w" * (7 * i)}</p><ul><li>{i}</li><li>x</li></ul></section>' for i in range(30)) + "</div>"
+    n = nodes(spark, html)
+    whole = clean.serialise(clean.marked(n)).first().html
+    assert {r.page_id: r.size for r in clean.written_length(n).where("pre = 0").collect()} == {0: len(whole)}
+    words = lambda h: "".join(r.text for r in nodes(spark, h).where("kind = 'text'").orderBy("pre").collect())
+    for limit in (60, 150, 900):
+        parts = cut(spark, html, limit)
+        assert max(map(len, parts)) <= limit
+        assert "".join(words(p) for p in parts) == words(html)
+
+
 def test_absolute_urls(spark):
     cases = [("/a", "https://h.org/d/p.html?q#f", "https://h.org/a"), ("b.html", "https://h.org/d/p.html", "https://h.org/d/b.html"), ("//x/y", "https://h.org/", "https://x/y"), ("#f", "https://h.org/p", "https://h.org/p#f"), ("mailto:a@b", "https://h.org/p", "mailto:a@b"), ("", "https://h.org/p", "")]
     for r in spark.createDataFrame(cases, "u string, b string, e string").withColumn("got", fx.absolute(F.col("u"), F.col("b"))).collect():
