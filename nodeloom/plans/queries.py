@@ -454,4 +454,10 @@ def extract_article(spark, sf_dir):
     return out.select("page_id", "method", F.regexp_count("html", F.lit("<p>")).cast("long").alias("n_paragraphs"))
 
 
+@query("q67_structural_chunks")
+def structural_chunks(spark, sf_dir):
+    """Pages cut along their elements. SQL cannot open subtrees by their written length; the tests hold texts, limits and cuts."""
+    return blocks.structural(materialise(page_nodes(spark, sf_dir)), 2000).select("page_id", "block_no", "raw_len")
+
+
 __all__ = ["ORACLE_SQL", "QUERIES", "Window", "visible"]
