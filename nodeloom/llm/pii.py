@@ -14,9 +14,11 @@ information, as a share of the entity's information content:
 
 which is 1 when the term occurs in the entity's documents only. Terms at or above
 ``threshold``, seen with the entity in at least ``support`` distinct texts, become
-``term`` spans of the documents that hold the entity. Entities below ``support``
-have no corpus evidence and add no terms. ``sanitise`` generalises base spans to
-their kind and removes terms.
+``term`` spans of the documents that hold the entity. With the default support of 1
+an entity of a single text is protected too: its terms are the words of that text
+that stand in at most N ** (1 - threshold) texts. A higher ``support`` asks for
+repeated evidence. An entity in every text tells nothing and adds no terms.
+``sanitise`` generalises base spans to their kind and removes terms.
 
 Null texts count as empty. Rows that repeat id and text get the same result each
 (and count as often as they occur among the texts that hold a term).
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from nodeloom.llm.common import cut
 from nodeloom.llm.orderminhash import let
 
-SUPPORT, THRESHOLD, TERM_LENGTH = 3, 0.8, 4
+SUPPORT, THRESHOLD, TERM_LENGTH = 1, 0.8, 4
 #: Lists of term or text hashes up to this many rows are broadcast, larger ones joined by shuffle.
 BROADCAST_TERMS = BROADCAST_TEXTS = 200_000
 KINDS = ("email", "ip", "card", "phone")

@@ -179,6 +179,14 @@ def test_pii_disclosure(spark):
     assert all("term" not in r.spans for r in pii.summary(copies).collect())  # copies are one piece of evidence
 
 
+def test_pii_disclosure_of_rare_entities(spark):
+    rows = [(0, "Quimby writes from ann@x.org today"), (1, "Tuttle mail bob@y.org today"), (2, "Tuttle writes bob@y.org today")] + [(10 + i, "he writes mail from home today") for i in range(2)] + [(20 + i, f"she writes mail from home today {i}") for i in range(30)]
+    spans = {r.doc_id: r.spans for r in pii.summary(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert spans[0] == "email:19:28,term:0:6"  # one text
+    assert spans[1] == "email:12:21,term:0:6" and spans[2] == "email:14:23,term:0:6"  # two texts
+    assert all(spans[i] == "" for i, _ in rows[3:])
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://h/{i}", [None, "", "same", f"<p>é {i}</p>" * 50][i % 4]) for i in range(200)] + [(None, None, "no id")], "page_id long, url string, html string")
     rows = {r.page_id: (r.html or "").encode() for r in pages.collect()}
