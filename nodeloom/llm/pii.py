@@ -7,14 +7,15 @@ matcher step back nor recurse.
 
 Disclosure. An entity is a base match; its documents are counted by distinct text,
 so copies are one piece of evidence. A term (word of at least ``term_length``
-characters outside base spans) reveals the entity by their pointwise mutual
+characters, marked outside base spans) reveals the entity by their pointwise mutual
 information, as a share of the entity's information content:
 
     disclosure(e, t) = ln(N n(e,t) / (n(e) n(t))) / ln(N / n(e))
 
 which is 1 when the term occurs in the entity's documents only. Terms at or above
 ``threshold``, seen with the entity in at least ``support`` distinct texts, become
-``term`` spans of the documents that hold the entity. With the default support of 1
+``term`` spans of all documents that hold the term: where the entity is absent the
+term reveals it all the same. Words of any length are terms. With the default support of 1
 an entity of a single text is protected too: its terms are the words of that text
 that stand in at most N ** (1 - threshold) texts. A higher ``support`` asks for
 repeated evidence. An entity in every text tells nothing and adds no terms.
@@ -28,13 +29,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nodeloom.llm.common import cut
 from nodeloom.llm.orderminhash import let
 
-SUPPORT, THRESHOLD, TERM_LENGTH = 1, 0.8, 4
+SUPPORT, THRESHOLD, TERM_LENGTH = 1, 0.8, 1
 #: Lists of term or text hashes up to this many rows are broadcast, larger ones joined by shuffle.
 BROADCAST_TERMS = BROADCAST_TEXTS = 200_000
 KINDS = ("email", "ip", "card", "phone")
@@ -71,7 +72,7 @@ VALID: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """All matches as array<struct<start, end, text>>, offsets in code points, end exclusive."""
     none = F.array().cast("array<struct<start:int,end:int,text:string>>")
 
@@ -118,14 +119,15 @@ def _among(rows: DataFrame, keys: DataFrame, column: str, most: int) -> DataFram
     return rows.join(F.broadcast(keys) if keys.count() <= most else keys, column, "left_semi")
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD, term_length: int = TERM_LENGTH) -> tuple[DataFrame, DataFrame, DataFrame] | None:
-    """Evidence, or None if no entity has any: (doc_id, h, e) of documents with such an entity, (e, t) of entities and the terms that disclose them, as hashes, and (h, text) of the documents."""
+def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD, term_length: int = TERM_LENGTH) -> tuple[DataFrame, DataFrame] | None:
+    """(h, t) of all texts that hold a term that discloses some entity, as hashes, and (h, text) of one row of each text; None without entities."""
     values = F.flatten(F.array(*[F.transform(k, lambda s: F.concat(F.lit(k + ":"), F.lower(s["text"]))) for k in KINDS]))  # noqa: B023
-    held = found.where(" or ".join(f"size({k}) > 0" for k in KINDS)).select("doc_id", "h", F.explode(F.array_distinct(values)).alias("entity")).select("doc_id", "h", F.xxhash64("entity").alias("e"))
-    known = cut(held.groupBy("e").agg(F.count_distinct("h").alias("n_e")).where(F.col("n_e") >= support))
+    held = found.where(" or ".join(f"size({k}) > 0" for k in KINDS)).select("h", F.explode(F.array_distinct(values)).alias("entity")).select("h", F.xxhash64("entity").alias("e"))
+    held = cut(held.distinct())
+    known = cut(held.groupBy("e").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support))
     if known.isEmpty():
         return None
-    held = cut(held.join(known, "e").select("doc_id", "h", "e", "n_e").distinct())
+    held = cut(held.join(known, "e").select("h", "e", "n_e"))
     text = F.coalesce(F.col("text"), F.lit(""))
     # each distinct text once, with what it holds
     own = cut(held.select("h").distinct())
@@ -136,55 +138,56 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
     # disclosure reaches the threshold only for terms in at most so many texts; those that are in more of these very texts need no further count
     at_most = F.col("n_et") * F.pow(F.lit(total) / F.col("n_e"), F.lit(1 - threshold)) * (1 + 1e-9)
     here = own_terms.groupBy("t").agg(F.count("*").alias("n_here"))
-    pairs = held.select("h", "e", "n_e").distinct().join(own_terms, "h").groupBy("e", "n_e", "t").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
+    pairs = held.join(own_terms, "h").groupBy("e", "n_e", "t").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
     pairs = cut(pairs.join(here, "t").where((F.col("n_here") <= at_most) & (F.col("n_e") < total)).select("e", "n_e", "t", "n_et"))
-    terms = cut(pairs.select("t").distinct())
     # one row of each text is counted, so that counts add up in the tasks and only sums are shuffled
     copies = cut(found.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("_first")).where("n > 1").select(F.col("h").alias("_h"), "_first"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    rows = rows.join(F.broadcast(copies) if copies.count() <= BROADCAST_TEXTS else copies, F.col("h") == F.col("_h"), "left").where(F.col("_h").isNull() | F.col("doc_id").eqNullSafe(F.col("_first")))
-    everywhere = _among(rows.select(F.explode(terms_of(F.col("text"))).alias("t")), terms, "t", BROADCAST_TERMS).groupBy("t").agg(F.count("*").alias("n_t"))
+    rows = rows.join(F.broadcast(copies) if copies.count() <= BROADCAST_TEXTS else copies, F.col("h") == F.col("_h"), "left").where(F.col("_h").isNull() | F.col("doc_id").eqNullSafe(F.col("_first"))).select("h", "text")
+    everywhere = rows.select("h", F.explode(terms_of(F.col("text"))).alias("t"))
+    counts = cut(everywhere.groupBy("t").agg(F.count("*").alias("n_t")))
     share = F.log(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(total) / F.col("n_e"))
-    return held.select("doc_id", "h", "e"), cut(pairs.join(everywhere, "t").where(share >= threshold).select("e", "t")), own_text
+    disclosing = cut(pairs.join(counts, "t").where(share >= threshold).groupBy("t").agg(F.first("n_t").alias("n_t")))
+    # most places are taken by at most BROADCAST_TERMS common words, which disclose nothing: they go before the shuffle
+    widest, places = disclosing.agg(F.max("n_t")).first()[0] or 0, counts.agg(F.sum("n_t")).first()[0] or 0
+    common = counts.where(F.col("n_t") > max(widest, places / BROADCAST_TERMS)).select("t")
+    rare = everywhere.join(F.broadcast(common), "t", "left_anti")
+    return _among(rare, disclosing.select("t"), "t", BROADCAST_TERMS), rows
 
 
 def term_spans(docs: DataFrame, found: DataFrame, **how) -> DataFrame:
-    """doc_id, h, term (array of spans in order of start) of the documents that have any."""
+    """h, term (array of spans in order of start) of the distinct texts that have any, whether or not they hold the entity."""
     evidence = disclosing_terms(docs, found, **how)
     none = "array<struct<start:int,end:int,text:string>>"
     if evidence is None:
-        return docs.sparkSession.createDataFrame([], f"doc_id long, h long, term {none}")
-    held, disclosing, own_text = evidence
-    # words of each distinct text are placed once, copies take the result over by their hash
-    wanted = cut(held.select("h", "e").distinct().join(disclosing, "e").select("h", "t").distinct())
-    pieces = F.arrays_zip(F.split("text", WORD, -1).alias("gap"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("word"))
-    run = F.sum(F.length("p.gap") + F.coalesce(F.length("p.word"), F.lit(0))).over(Window.partitionBy("h").orderBy("pos")).cast("int")
-    placed = own_text.join(wanted.select("h").distinct(), "h", "left_semi").select("h", F.posexplode(pieces).alias("pos", "p")).select("h", "p", run.alias("end")).where("p.word is not null")
-    span = F.struct((F.col("end") - F.length("p.word")).alias("start"), F.col("end"), F.col("p.word").alias("text"))
-    hits = placed.select("h", span.alias("span"), F.xxhash64(F.lower("p.word")).alias("t")).join(wanted, ["h", "t"], "left_semi")
+        return docs.sparkSession.createDataFrame([], f"h long, term {none}")
+    holding, rows = evidence
+    wanted = cut(holding.groupBy("h").agg(F.collect_set("t").alias("ts")))
     # words inside a base span stay with it
     bases = found.where(" or ".join(f"size({k}) > 0" for k in KINDS)).dropDuplicates(["h"]).select("h", F.flatten(F.array(*KINDS)).alias("bases"))
-    free = hits.join(bases, "h").where(~F.exists("bases", lambda b: (b["start"] < F.col("span.end")) & (F.col("span.start") < b["end"])))
-    spans = free.groupBy("h").agg(F.array_sort(F.collect_list("span")).alias("term"))
-    return held.select("doc_id", "h").distinct().join(spans, "h").select("doc_id", "h", "term")
+    # the spellings of the terms in a text make the pattern that places them there
+    forms = F.filter(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), lambda w: F.array_contains("ts", F.xxhash64(F.lower(w))))
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    texts = rows.join(wanted, "h").join(bases, "h", "left").select("h", "text", F.coalesce("bases", F.array().cast(none)).alias("bases"), pattern.alias("pattern"))
+    free = lambda s: ~F.exists("bases", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    return texts.select("h", F.filter(located(F.col("text"), F.col("pattern")), free).alias("term")).where(F.size("term") > 0).dropDuplicates(["h"])
 
 
 def find(docs: DataFrame, **how) -> DataFrame:
     """doc_id, h, and the spans of each kind, terms included."""
     found = cut(find_base(docs))
-    terms = term_spans(docs, found, **how)
+    terms = cut(term_spans(docs, found, **how))
     none = F.array().cast("array<struct<start:int,end:int,text:string>>")
-    joined = found.join(terms.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "term"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
-    return joined.select("doc_id", "h", *KINDS, F.coalesce("term", none).alias("term"))
+    return found.join(terms, "h", "left").select("doc_id", "h", *KINDS, F.coalesce("term", none).alias("term"))
 
 
 def summary(docs: DataFrame, **how) -> DataFrame:
-    """Counts and spelt spans of each row."""
+    """Counts and spelt spans of each row: base spans with commas between them, then each term with a comma before it."""
     base = F.flatten(F.array(*[_spelt(k, F.col(k)) for k in KINDS]))
     return find(docs, **how).select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
-        F.array_join(F.concat(base, _spelt("term", F.col("term"))), ",").alias("spans"),
+        F.concat(F.array_join(base, ","), F.array_join(F.transform(_spelt("term", F.col("term")), lambda s: F.concat(F.lit(","), s)), "")).alias("spans"),
     )
 
 

@@ -187,6 +187,14 @@ def test_pii_disclosure_of_rare_entities(spark):
     assert all(spans[i] == "" for i, _ in rows[3:])
 
 
+def test_pii_terms_in_texts_without_the_entity(spark):
+    rows = [(0, "Kim writes bob@x.org"), (1, "today 李雷 writes to ann@y.org"), (2, "😀 KIM came, 李雷 left; Kimono")] + [(10 + i, f"she writes to them and came and left today {i}") for i in range(60)]
+    spans = {r.doc_id: r.spans for r in pii.summary(spark.createDataFrame(rows + [(3, rows[2][1])], "doc_id long, text string")).collect()}
+    assert spans[0] == "email:11:20,term:0:3" and spans[1] == "email:19:28,term:6:8"
+    assert spans[2] == spans[3] == ",term:2:5,term:12:14"
+    assert all(spans[10 + i] == "" for i in range(60))
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://h/{i}", [None, "", "same", f"<p>é {i}</p>" * 50][i % 4]) for i in range(200)] + [(None, None, "no id")], "page_id long, url string, html string")
     rows = {r.page_id: (r.html or "").encode() for r in pages.collect()}
