@@ -3,8 +3,10 @@
 A text is reduced to canonical form: ASCII lower case; copyright lines dropped;
 ASCII punctuation and white space to single spaces; equivalent spellings to one.
 The SHA-256 of the form is hash-joined to the digests of known license texts. The
-unit is an entire text: the whole document, and each of its lines for one-line
-notices. Only the table of known digests, a few dozen rows, is broadcast.
+unit is an entire text: the whole document, and each of its lines for notices and
+licenses on one line. Only the table of known digests, a few dozen rows, is broadcast.
+Full texts are the files of the folder ``licenses``, named by license, which the
+driver alone reads.
 
 Null texts count as empty; an empty form matches nothing. Rows are matched one by
 one; repeated rows give repeated results.
@@ -12,6 +14,9 @@ one; repeated rows give repeated results.
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,9 +71,31 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """(license, text) of the files, each also without what follows its terms, BSD texts also with unnumbered clauses; all of them also on one line."""
+    found = []
+    for file in resources.files("nodeloom.llm").joinpath("licenses").iterdir():
+        if file.name.endswith(".txt"):
+            name, text = file.name[:-4], file.read_text(encoding="utf-8")
+            found.append((name, text))
+            head, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+            found += [(name, head), (name, head + end)] if end else []
+            found += [(name, re.sub(r"(?m)^\d\. ", "* ", text))] if name.startswith("BSD-") else []
+    return found + [(name, " ".join(text.split())) for name, text in found]
+
+
 def known(spark: SparkSession) -> DataFrame:
-    """digest, license of all known texts, one row for each digest."""
-    return spark.createDataFrame(list(KNOWN), "license string, text string").select(digest(F.col("text")).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+    """digest, license, form (canonical) of all known texts, one row for each digest."""
+    texts = spark.createDataFrame([*KNOWN, *full_texts()], "license string, text string").select(canonical(F.col("text")).alias("form"), "license")
+    return texts.groupBy("form").agg(F.min("license").alias("license")).select(F.sha2(F.col("form").cast("binary"), 256).alias("digest"), "license", "form")
+
+
+def first_words(forms: list[str]) -> set[str]:
+    """Words that a line can begin with, if its canonical form is one of these."""
+    words = {form.split(" ", 1)[0] for form in forms}
+    while more := {said.split()[0] for said, meant in SPELLINGS if meant.split()[0] in words} - words:
+        words |= more
+    return words
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -76,8 +103,10 @@ def scan(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     table = known(spark)
     texts = table.collect()  # a few dozen rows: the known texts themselves
+    table = spark.createDataFrame([(r["digest"], r["license"]) for r in texts], "digest string, license string")
     of_line = F.create_map(*[F.lit(x) for r in texts for x in (r["digest"], r["license"])])
-    lines = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda x: F.length(x).between(8, 4096) & x.rlike("(?i)licen[cs]e"))
+    begins = rf"(?i)^{SEPARATORS[:-1]}*(?:{'|'.join(sorted(first_words([r['form'] for r in texts])))})(?:{SEPARATORS[:-1]}|$)"
+    lines = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda x: x.rlike(begins))
     found = F.filter(F.transform(lines, lambda x: F.try_element_at(of_line, digest(x))), lambda x: x.isNotNull())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest"), found.alias("found"))
     joined = rows.join(F.broadcast(table), "digest", "left")

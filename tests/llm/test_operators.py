@@ -254,6 +254,17 @@ def test_license(spark):
     assert found == {1: ("MIT", 0, ""), 2: ("MIT", 0, ""), 3: (None, 0, ""), 4: (None, 2, "Apache-2.0,MIT"), 5: (None, 0, "")}
 
 
+def test_license_full_texts_and_lines_without_the_word(spark):
+    texts = dict(license.full_texts())
+    one_line = lambda t: " ".join(t.split())
+    isc, zero = license.KNOWN[2][1], license.KNOWN[3][1]
+    rows = [(name, "Copyright 2020 Someone\n\n" + text) for name, text in license.full_texts()] + [("lines", f"readme\n# {one_line(isc)}\nother\n{one_line(zero)}"), ("long", "a\n" + one_line(texts["Apache-2.0"]))]
+    found = {i: r for i, r in enumerate(license.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")).orderBy("doc_id").collect())}
+    assert all(found[i].license == name for i, (name, _) in enumerate(rows[:-2]))
+    assert found[len(rows) - 2].notices == "0BSD,ISC" and found[len(rows) - 1].notices == "Apache-2.0"
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "Unlicense"} <= set(texts)
+
+
 def _labelled(spark, n=400):
     rng = random.Random(7)
     words = {"en": ["the", "there", "thing", "that", "with"], "de": ["der", "und", "nicht", "eine", "schon"]}
