@@ -9,10 +9,11 @@ bounds are parameters of the fit alone.
 Prediction, over whole texts. The script range of a word's first letter leaves
 the languages that use that script; the word's score for each of them is the sum of the
 log-probabilities of its trigrams, relative to the best language. A Viterbi pass with a switching
-penalty labels spans of words. The language with most letters in its spans is the
+penalty labels spans of words. Words in a script that no language uses are ``und``,
+whatever surrounds them. The language with most letters in its spans is the
 prediction, its share of all letters the score.
 
-Null texts and texts without a letter are ``und`` with score 0. With no labelled
+Null texts and texts without a letter, or without one in a learned script, are ``und`` with score 0. With no labelled
 row at all every text is ``und``. Repeated rows are predicted alike.
 """
 
@@ -170,24 +171,33 @@ class Labeller:
         return self.table[np.fromiter(map(row.__getitem__, words), np.int64, len(words))]
 
     def path(self, text: str | None) -> tuple[list[str], np.ndarray]:
+        """Words and the place of each one's language, or the place behind the last language for words in unlearned scripts."""
         words = LETTERS.findall((text or "").lower())
         if not words or not self.model.languages:
             return [], np.empty(0, np.int64)
-        return words, viterbi(self.scores(words), self.model.switch)
+        scores = self.scores(words)
+        path = viterbi(scores, self.model.switch)
+        for i in np.flatnonzero(~scores.any(axis=1)).tolist():  # without any difference: of no learned script, or equally likely in all
+            if script(words[i][0]) not in self.model.scripts:
+                path[i] = len(self.model.languages)
+        return words, path
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words, path = self.path(text)
         if not words:
             return UNDETERMINED, 0.0
-        letters = np.bincount(path, weights=np.fromiter(map(len, words), np.float64, len(words)), minlength=len(self.model.languages))
-        k = int(letters.argmax())
+        letters = np.bincount(path, weights=np.fromiter(map(len, words), np.float64, len(words)), minlength=len(self.model.languages) + 1)
+        k = int(letters[:-1].argmax())
+        if not letters[k]:
+            return UNDETERMINED, 0.0
         return self.model.languages[k], float(letters[k] / letters.sum())
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
         """(first word, word after the last, language) of each span."""
         _, path = self.path(text)
         cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)] if len(path) else [0]
-        return [(a, b, self.model.languages[int(path[a])]) for a, b in zip(cuts, cuts[1:])]
+        names = [*self.model.languages, UNDETERMINED]
+        return [(a, b, names[int(path[a])]) for a, b in zip(cuts, cuts[1:])]
 
 
 def identify(docs: DataFrame, model: Model, id_column: str = "doc_id") -> DataFrame:

@@ -283,6 +283,16 @@ def test_language_held_out_and_spans(spark):
     assert labeller.predict("the thing Ελλάδα")[0] == "en"
 
 
+def test_unlearned_scripts_are_undetermined(spark):
+    model = langid.fit(_labelled(spark))
+    labeller = langid.Labeller(model)
+    assert labeller.predict("Привет как дела") == labeller.predict("مرحبا") == labeller.predict("你好世界") == ("und", 0.0)
+    assert labeller.predict("there Привет") == ("en", 5 / 11)
+    assert labeller.spans("the there Привет that") == [(0, 2, "en"), (2, 3, "und"), (3, 4, "en")]
+    d = spark.createDataFrame([(1, "Привет как дела"), (2, "the there Привет"), (3, "the Привет")], "doc_id long, text string")
+    assert [r.doc_id for r in langid.keep_known(d, model).collect()] == [2]
+
+
 def test_viterbi_is_exact():
     import numpy as np
 
