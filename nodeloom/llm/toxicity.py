@@ -9,7 +9,10 @@ toxic texts, so that the private words of a group of near copies do not enter.
 Match, over whole texts. The lexicon is a trie; the automaton that accepts all
 words within a bounded number of edits of an entry is intersected with it and made
 deterministic as it is used (states: sets of trie nodes with their errors). A word
-is read once; misspelled entries are accepted with their number of edits.
+is read once; misspelled entries are accepted with their number of edits: 2 from 8
+characters on, else 1. Beginnings have 1, and words under them their own. Beginnings
+and entries of 4 characters stay exact if their misspellings in the sample are not
+clearly toxic. Terms under 4 characters never enter.
 
 Score. Hits inside quotation marks or behind reporting words count as quoted, the
 others as abuse. A logistic model over exact, misspelled and quoted hits gives the
@@ -55,6 +58,7 @@ class Lexicon:
     """Trie: node 0 is the root. An entry ends a node with its allowed edits; ``opens`` marks word beginnings."""
 
     entries: dict[str, bool]  # entry -> whether it is a word beginning
+    exact: frozenset[str] = frozenset()  # entries, beginnings marked, that are matched as they are
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     ends: dict[int, int] = field(default_factory=dict)
     opens: dict[int, int] = field(default_factory=dict)
@@ -68,9 +72,9 @@ class Lexicon:
                     self.children[node][c] = len(self.children) - 1
                 node = self.children[node][c]
             if opens:
-                self.opens[node] = 0  # beginnings are matched as they are
+                self.opens[node] = 0 if entry + BEGINNING in self.exact else 1
             else:
-                self.ends[node] = 0 if len(entry) < 5 else 1 if len(entry) < 8 else 2
+                self.ends[node] = 0 if entry in self.exact else 1 if len(entry) < 8 else 2
 
 
 class Automaton:
@@ -78,7 +82,7 @@ class Automaton:
 
     def __init__(self, lexicon: Lexicon):
         self.trie = lexicon
-        self.most = max([0, *lexicon.ends.values()])
+        self.most = max([0, *lexicon.ends.values(), *lexicon.opens.values()])
         self.start = self.close({0: 0})
         self.memo: dict[str, int] = {}
         self.clear()
@@ -103,7 +107,7 @@ class Automaton:
 
     def accepted(self, state: frozenset) -> int:
         """Least edits of an entry that ends here, or -1."""
-        return min((e for n, e in state if n == -1 or e <= self.trie.ends.get(n, -1)), default=-1)
+        return min((e for n, e in state if n == -1 or e <= max(self.trie.ends.get(n, -1), self.trie.opens.get(n, -1))), default=-1)
 
     def step(self, at: int, c: str) -> int:
         """Number of the state after c; -1 if nothing can match any more."""
@@ -115,14 +119,15 @@ class Automaton:
 
         for node, e in self.states[at]:
             if node == -1:
-                reach(-1, 0)
+                reach(-1, e)
                 continue
             reach(node, e + 1)
             for letter, child in self.trie.children[node].items():
                 reach(child, e + (letter != c))
-        for node in [n for n, e in after.items() if n != -1 and e == self.trie.opens.get(n, -1)]:
-            after[-1] = 0  # a beginning was read: whatever follows is accepted
         state = self.close(after)
+        read = [e for n, e in state if n != -1 and e <= self.trie.opens.get(n, -1)]
+        if read:  # a beginning was read: whatever follows is accepted
+            state = frozenset((dict(state) | {-1: min(read + [e for n, e in state if n == -1])}).items())
         if not state:
             return -1
         if state not in self.number:
@@ -193,6 +198,7 @@ def features(text: str | None, automaton: Automaton) -> tuple[float, ...]:
 class Model:
     entries: dict[str, bool]
     weights: tuple[float, ...]  # base, then features
+    exact: frozenset[str] = frozenset()
 
     def score(self, x: tuple[float, ...]) -> float:
         if not self.weights:
@@ -238,15 +244,32 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     table = by_batch(rows.select("text", "toxic"), "entry string, clean long, toxic long", count).groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     strong = table.where((F.col("toxic") >= need) & (F.col("toxic") * F.lit(totals[0] / totals[1]) >= F.lit(PRECISION / (1 - PRECISION)) * (F.col("clean") + 0.5)) & (F.col("toxic") >= F.lit(PRECISION) * (F.col("clean") + F.col("toxic"))))
     model = Model(lexicon({r["entry"]: r["toxic"] for r in strong.collect()}), ())  # at most some hundreds: each has least_share of the toxic texts
+    model.exact = blurred(table, model.entries)
     automaton = {}
 
     def measure(columns):
-        own = automaton.get("") or automaton.setdefault("", Automaton(Lexicon(model.entries)))
+        own = automaton.get("") or automaton.setdefault("", Automaton(Lexicon(model.entries, model.exact)))
         found = [features(t, own) for t in columns[0]]
         return [list(columns[1]), *[list(c) for c in zip(*found)]] if found else [[] for _ in range(FEATURES + 1)]
 
     seen = by_batch(rows.select("text", "toxic"), "toxic int, " + ", ".join(f"f{k} double" for k in range(FEATURES)), measure).toPandas().to_numpy(np.float64)
-    return Model(model.entries, logistic(seen[:, 1:], seen[:, 0]))
+    return Model(model.entries, logistic(seen[:, 1:], seen[:, 0]), model.exact)
+
+
+def blurred(table: DataFrame, entries: dict[str, bool]) -> frozenset[str]:
+    """Beginnings (marked) and entries under 5 characters that stay exact, as words of the sample one edit away are not clearly toxic."""
+    short = [e + BEGINNING * opens for e, opens in entries.items() if opens or len(e) < 5]
+    if not short:
+        return frozenset()
+    words = table.where(~F.col("entry").endswith(BEGINNING)).select("entry", "clean", "toxic")
+
+    def count(columns):
+        own = {e: Automaton(Lexicon({e.rstrip(BEGINNING): e.endswith(BEGINNING)})) for e in short}
+        found = [(e, clean, toxic) for e, a in own.items() for w, clean, toxic in zip(*columns) if a.edits(w) == 1]
+        return [list(c) for c in zip(*found)] if found else [[], [], []]
+
+    near = by_batch(words, "entry string, clean long, toxic long", count).groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    return frozenset(r["entry"] for r in near.where(F.col("toxic") < F.lit(PRECISION) * (F.col("clean") + F.col("toxic"))).collect())
 
 
 def lexicon(strong: dict[str, int]) -> dict[str, bool]:
@@ -261,7 +284,7 @@ def lexicon(strong: dict[str, int]) -> dict[str, bool]:
         if starts[s] > 1.5 * max(1, under):
             chosen[s] = True
     for w in sorted(words):
-        if not any(chosen.get(w[:n]) for n in range(SHORTEST, len(w) + 1)):
+        if not chosen.get(w):  # words under a beginning keep their own edits
             chosen[w] = False
     return chosen
 
@@ -289,7 +312,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred entries
 
     def work(columns):
-        own = held.get("") or held.setdefault("", Automaton(Lexicon(shared.value.entries)))
+        own = held.get("") or held.setdefault("", Automaton(Lexicon(shared.value.entries, shared.value.exact)))
         return [columns[0], [shared.value.score(features(t, own)) for t in columns[1]]]
 
     return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, score double", work)

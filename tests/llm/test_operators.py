@@ -343,3 +343,11 @@ def test_toxicity(spark):
     quoted = 'he said "you are worthless" to me and then we went'
     assert model.score(toxicity.features(quoted, own)) < 0.5 <= model.score(toxicity.features("you are worthless and we all know it", own))
     assert toxicity.fit(d, labels.limit(0)).weights == ()
+
+
+def test_toxicity_misspelled_short_entries_and_beginnings(spark):
+    own = toxicity.Automaton(toxicity.Lexicon({"scum": False, "moron": True, "moronic": False}))
+    assert [own.edits(w) for w in ("scum", "scvm", "skum", "scvn", "moronish", "m0ronish", "m0r0nish", "moro", "mronic")] == [0, 1, 1, -1, 0, 1, -1, 1, 1]
+    assert toxicity.lexicon({"moron" + toxicity.BEGINNING: 30, "moronic": 8, "moronish": 9}) == {"moron": True, "moronic": False, "moronish": False}
+    words = spark.createDataFrame([("scvm", 0, 3), ("fooi", 9, 0), ("morun", 1, 0)], "entry string, clean long, toxic long")
+    assert toxicity.blurred(words, {"scum": False, "fool": False, "moron": True}) == {"fool", "moron" + toxicity.BEGINNING}
