@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -19,14 +21,26 @@ ROWS_AT_ONCE = 256
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a local one only where it is unset (tests)."""
+    """The shared folder that the cluster names in spark.checkpoint.dir. Where it is unset, a local folder in local mode (tests) and an error elsewhere."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = held.get() if held.isDefined() else "/tmp/nodeloom-checkpoints"
+        root = held.get() if held.isDefined() else None
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"{tempfile.gettempdir()}/nodeloom-checkpoints"
     return root.rstrip("/")
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder for intermediates, which goes when the session's JVM ends."""
+    path = f"{checkpoint_root(spark)}/{kind}-{uuid.uuid4().hex}"
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(held)
+    return path
+
+
 def cut(df: DataFrame, compact: bool = False) -> DataFrame:
     """Materialise df once in the shared checkpoint folder and go on from there, so that no later stage depends on executors that may be lost.
 
@@ -50,7 +64,7 @@ BATCH_BYTES, BATCH_SETTING, BATCH_DEFAULT = "8m", "spark.sql.execution.arrow.max
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small: a batch exists in the JVM and twice in the worker."""
+    """Keep Arrow batches of whole texts small: a batch exists in the JVM and twice in the worker. Spark knows this limit as a setting of the session only, so it holds for the session from here on, unless the session has set its own."""
     if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT[0]) in BATCH_DEFAULT:
         spark.conf.set(BATCH_SETTING, BATCH_BYTES)
 
@@ -90,3 +104,27 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+#: A key with more than this share of all rows is settled by broadcast: at most 1/HOT_SHARE keys can have it.
+HOT_SHARE = 1e-3
+
+
+def join_split(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """rows joined to table (one row a key; its column ``n`` counts the rows of the key, and goes). Keys with more than HOT_SHARE of
+    ``total`` rows are at most 1/HOT_SHARE; they are broadcast, so that no task meets all rows of one. The others are joined by shuffle."""
+    hot = table.where(F.col("n") > F.lit(HOT_SHARE * total)).drop("n")
+    cold = table.where(F.col("n") <= F.lit(HOT_SHARE * total)).drop("n")
+    settled = rows.join(F.broadcast(hot), key)
+    return settled.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
+def numbers(values: list[int]) -> Column:
+    """A literal array<bigint>, however long, as one expression."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
+
+
+def place_among(size: int, at_most: Callable[[Column], Column]) -> Column:
+    """Largest i in 0 .. size-1 for which at_most(i) holds, -1 if it holds for none; at_most holds up to some i and not beyond. A binary search."""
+    halves = F.array(*[F.lit(1 << n) for n in range(max(1, size).bit_length() - 1, -1, -1)])
+    return F.aggregate(halves, F.lit(-1), lambda at, step: F.when((at + step < size) & F.coalesce(at_most(at + step), F.lit(False)), at + step).otherwise(at))

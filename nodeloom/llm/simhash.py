@@ -17,7 +17,8 @@ effect, but no group emits all its pairs. A cell with more points than
 
 Null texts count as empty, empty texts get fingerprint zero and link like any
 other; equal ids with different texts are different rows of one node. Rows without an id
-link to nothing and have no component.
+link to nothing and have no component, whatever their texts; ``keep_one`` keeps them all.
+An empty table gives an empty result. Texts of any length are read whole, in blocks of shingles.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nodeloom.llm.common import by_batch, cut, fresh
+from nodeloom.llm.common import by_batch, cut, fresh, join_split
 from nodeloom.llm.components import connected_components
 
 #: Points of one cell that are compared in one piece.
@@ -169,16 +170,22 @@ def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataF
 def near_duplicates(docs: DataFrame, most: int = 4, shingle: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable over links of at most ``most`` differing bits), one row per document."""
     marked = cut(fingerprints(docs, shingle))
-    points = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
+    points = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")))
     groups = connected_components(links(points, most, cell_rows))
-    of_point = points.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(of_point, "fp").select("doc_id", "fp", "component_id")
+    of_point = cut(points.join(groups, "node", "left").select("fp", "n", F.coalesce("component", "node").alias("component_id")))
+    found = join_split(marked, of_point, "fp", marked.count())
+    return found.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, most: int = 4, shingle: int = 4) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates, with all its columns; of rows with one id and text, one."""
-    stay_id, nth = fresh(docs, "_stay_id", "_nth")
-    stays = near_duplicates(docs, most, shingle).where("doc_id <=> component_id").select(F.col("component_id").alias(stay_id)).distinct()
-    kept = docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
-    return kept.withColumn(nth, first).where(F.col(nth) == 1).drop(nth)
+    """The document with the smallest doc_id of each group of near-duplicates, with all its columns; of rows with one id and text, one.
+
+    Texts are shuffled once, by id. Rows of one id are told apart by their texts' 64-bit hashes.
+    """
+    known, missing, nth = fresh(docs, "_row_id", "_row_null", "_nth")
+    key = lambda c: {known: F.coalesce(c.cast("long"), F.lit(0)), missing: c.isNull()}
+    stays = near_duplicates(docs, most, shingle).where("doc_id <=> component_id")
+    stays = stays.select(*[c.alias(name) for name, c in key(F.col("component_id")).items()]).distinct()
+    kept = docs.withColumns(key(F.col("doc_id"))).join(stays, [known, missing], "left_semi")
+    first = F.row_number().over(Window.partitionBy(known, missing, F.xxhash64("text")).orderBy("doc_id"))
+    return kept.withColumn(nth, first).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
