@@ -43,21 +43,35 @@ def frequent(rows: DataFrame, support: float) -> DataFrame:
 def exact_duplicates(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of docs."""
     rows = cut(digests(docs).withColumn("row", F.monotonically_increasing_id()))
-    winners = frequent(rows, support)
+    return settled(rows, frequent(rows, support))
+
+
+def settled(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """exact_duplicates of numbered digests: rows of winners by broadcast, the others through one shuffle."""
     marked = rows.join(F.broadcast(winners), "text_sha256", "left")
     same = Window.partitionBy("text_sha256")
     rest = marked.where("group_size is null").select("text_sha256", "doc_id", "row")
     rest = rest.select("*", F.max(F.struct("doc_id", "row")).over(same).alias("keep"), F.count("*").over(same).alias("group_size"))
-    settled = marked.where("group_size is not null").select(*rest.columns).unionByName(rest)
-    return settled.select("doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
+    all_ = marked.where("group_size is not null").select(*rest.columns).unionByName(rest)
+    return all_.select("doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
 
 
 def keep_one(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """Rows of docs whose text stays, with all their columns."""
-    stay_id, stay_digest, digest, nth = fresh(docs, "_stay_id", "_stay_digest", "_row_digest", "_nth")
-    stays = exact_duplicates(docs, support).where("kept").select(F.col("doc_id").alias(stay_id), F.col("text_sha256").alias(stay_digest))
-    left = docs.withColumn(digest, F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    joined = left.join(stays, (F.col(digest) == F.col(stay_digest)) & F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)))
+    """Rows of docs whose text stays, with all their columns; of repeated rows of one id and text, one.
+
+    The broadcast winners send rows of frequent texts away where they are read; what is
+    left is shuffled once, to meet the narrow table of rows that stay.
+    """
+    digest, known, missing, nth, hot_digest, hot_id = fresh(docs, "_row_digest", "_row_id", "_row_null", "_nth", "_hot_digest", "_hot_id")
+    rows = cut(digests(docs).withColumn("row", F.monotonically_increasing_id()))
+    winners = frequent(rows, support)
+    key = [F.coalesce(F.col("doc_id"), F.lit(0)).alias(known), F.col("doc_id").isNull().alias(missing), F.col("text_sha256").alias(digest)]
+    stays = settled(rows, winners).where("kept").select(*key)
+    left = docs.withColumns({digest: F.sha2(normalised(F.col("text")).cast("binary"), 256), known: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), missing: F.col("doc_id").isNull()})
+    of_hot = winners.select(F.col("text_sha256").alias(hot_digest), F.col("keep.doc_id").alias(hot_id))
+    left = left.join(F.broadcast(of_hot), F.col(digest) == F.col(hot_digest), "left")
+    left = left.where(F.col(hot_digest).isNull() | F.col("doc_id").cast("long").eqNullSafe(F.col(hot_id))).drop(hot_digest, hot_id)
+    joined = left.join(stays, [digest, known, missing], "left_semi")
     # repeated rows of one id and one text both meet their digest's row: one of them is enough
-    first = F.row_number().over(Window.partitionBy(digest).orderBy("doc_id"))
+    first = F.row_number().over(Window.partitionBy(digest, known, missing).orderBy("doc_id"))
     return joined.withColumn(nth, first).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
