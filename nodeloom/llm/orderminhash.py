@@ -12,26 +12,31 @@ the work is one sort of a text's k-mers.
 Likeness is the share of equal signatures among the slots that either text fills;
 two empty texts are alike (1), an empty and another text are not (0).
 
-Null texts count as empty. Rows are ordered by doc_id, then text; the row after
-the last is the first. A single row is followed by itself. Null ids come first.
-Everything works within a row but for one shuffle of the texts, by ranges of
-doc_id, that puts neighbours side by side.
+Null texts count as empty. Rows are ordered by doc_id, rows of one id by the hash of
+their text, then the text; the row after the last is the first. A single row is followed by
+itself. Null ids come first. An empty table gives an empty result, other columns are ignored.
+Everything works within a row but for one shuffle of the texts, by ranges of that order,
+that puts neighbours side by side. Ids of very many rows and null ids are cut into ranges
+by the hash; only rows equal in id and text always share one.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nodeloom.llm.common import SPACE_PATTERN
+from nodeloom.llm.common import SPACE_PATTERN, numbers, place_among
 
 K, SLOTS, TAKE = 3, 64, 2
-#: Low bits of a long that hold a word's place in its text (texts of up to 2**26 words); the others hold a hash.
-PLACE_BITS = 26
+#: Low bits of a long that hold a word's place in its text; the others hold a hash. No string of Spark's (2 GB) has more words.
+PLACE_BITS = 30
 #: Ranges of doc_id that the neighbour search is dealt into, for each million rows, and at most.
-RANGES_PER_MILLION, RANGES_LEAST, RANGES_MOST = 400, 32, 16384
+RANGES_PER_MILLION, RANGES_LEAST, RANGES_MOST = 400, 32, 65_536
+#: The least long: a bound that begins before any hash.
+_LEAST = -(1 << 63)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -116,39 +121,57 @@ def fingerprints(docs: DataFrame, k: int = K, slots: int = SLOTS, take: int = TA
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), signatures(text, k, slots, take).alias("signature"))
 
 
-def range_starts(ids: DataFrame) -> list[int]:
-    """Ascending doc_ids that begin the ranges: at most RANGES_MOST numbers, the smallest id first."""
-    n, least = ids.agg(F.count("doc_id"), F.min("doc_id")).first()
+def range_starts(keys: DataFrame) -> list[tuple[int, int, int]]:
+    """Ascending keys (1 and doc_id, or 0 and 0 for null ids; hash) that begin the ranges; the first row of all begins the first.
+
+    Quantiles of doc_id deal the ids. An id that several quantiles fall on, and null ids, hold
+    whole ranges of rows: they are dealt by even steps of the hash, where rows are first seen.
+    """
+    n, ids, least = keys.agg(F.count("*"), F.count("doc_id"), F.min("doc_id")).first()
     if not n:
         return []
-    ranges = max(RANGES_LEAST, min(RANGES_MOST, n * RANGES_PER_MILLION // 1_000_000))
-    found = ids.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
-    return sorted({least, *found})
+    per_range = n / max(RANGES_LEAST, min(RANGES_MOST, n * RANGES_PER_MILLION // 1_000_000))
+    quantiles = []
+    if ids:
+        pieces = max(2, round(ids / per_range))
+        quantiles = keys.agg(F.percentile_approx("doc_id", [i / pieces for i in range(1, pieces)], 20 * pieces)).first()[0]
+    falls = Counter(quantiles)
+    starts = [(1, i, _LEAST) for i in sorted({*falls, *([least] if ids else [])})]
+    many = {(1, i): k for i, k in falls.items() if k > 1} | ({(0, 0): max(1, round((n - ids) / per_range))} if n > ids else {})
+    if many:
+        table = keys.sparkSession.createDataFrame([(a, i, float(k)) for (a, i), k in many.items()], "there int, id long, pieces double")
+        hot = keys.select(F.col("doc_id").isNotNull().cast("int").alias("there"), F.coalesce("doc_id", F.lit(0)).alias("id"), "hash").join(F.broadcast(table), ["there", "id"])
+        step = F.floor((F.col("hash") / F.lit(2.0**64) + 0.5) * F.col("pieces"))
+        first = hot.groupBy("there", "id", step.alias("step")).agg(F.min("hash").alias("hash")).select("there", "id", "hash").collect()  # one row a range
+        starts += [tuple(r) for r in first]
+        starts = [s for s in starts if s[2] != _LEAST or s[:2] not in many]
+    return sorted(starts)
 
 
 def with_next(rows: DataFrame, value: Column, name: str) -> DataFrame:
-    """rows (doc_id, text, ...) with ``name``: the value of the row after it. One shuffle, by ranges of doc_id.
+    """rows (doc_id, text, ...) with ``name``: the value of the row after it. One shuffle, by ranges in their order.
 
     A row that begins a range is also sent to the range before as a guard, the
     first row of all to the last range.
     """
-    starts = range_starts(rows.select("doc_id"))
+    keyed = rows.withColumns({"_there": F.col("doc_id").isNotNull().cast("int"), "_id": F.coalesce("doc_id", F.lit(0)), "_hash": F.xxhash64("text")})
+    starts = range_starts(keyed.select("doc_id", F.col("_hash").alias("hash")))
     if not starts:
         return rows.withColumn(name, value)
-    bounds = F.array(*[F.lit(s).cast("long") for s in starts])
+    there, ids, hashes = (numbers(list(c)) for c in zip(*starts))
     last = len(starts) - 1
-    halves = F.array(*[F.lit(1 << n) for n in range(max(0, len(starts).bit_length() - 1), -1, -1)])
-    at = F.aggregate(halves, F.lit(-1), lambda at, step: F.when(F.coalesce(F.get(bounds, at + step) <= F.col("doc_id"), F.lit(False)), at + step).otherwise(at))
-    placed = rows.withColumn("_range", F.coalesce(F.greatest(at, F.lit(0)), F.lit(0)))
-    begins = F.array_contains(bounds, F.col("doc_id"))
+    own_key = F.struct(F.col("_there").cast("long").alias("a"), F.col("_id").alias("b"), F.col("_hash").alias("c"))
+    bound = lambda i: F.struct(F.get(there, i).alias("a"), F.get(ids, i).alias("b"), F.get(hashes, i).alias("c"))
+    placed = keyed.withColumn("_range", F.greatest(place_among(len(starts), lambda i: bound(i) <= own_key), F.lit(0)))
+    at = lambda c: F.get(c, F.col("_range"))
+    begins = (at(there) == F.col("_there")) & (at(ids) == F.col("_id")) & at(hashes).isin(F.lit(_LEAST), F.col("_hash"))
     own = F.struct(F.col("_range").alias("range"), F.lit(0).alias("guard"))
     guard = F.struct(F.when(F.col("_range") == 0, F.lit(last)).otherwise(F.col("_range") - 1).alias("range"), F.lit(1).alias("guard"))
-    # null ids come first: where there are any, they open the first range
-    nulls = rows.where("doc_id is null").limit(1).count() > 0
-    is_start = F.when(F.col("doc_id").isNull(), True).otherwise(begins & ((F.col("_range") > 0) | F.lit(not nulls)))
-    spread = placed.withColumn("_to", F.explode(F.when(is_start, F.array(own, guard)).otherwise(F.array(own)))).drop("_range").withColumns({"_range": F.col("_to.range"), "_guard": F.col("_to.guard")}).drop("_to")
-    window = Window.partitionBy("_range").orderBy(F.col("_guard"), F.col("doc_id").asc_nulls_first(), "text")
-    return spread.withColumn(name, F.lead(value).over(window)).where("_guard = 0").drop("_range", "_guard")
+    spread = placed.withColumn("_to", F.explode(F.when(begins, F.array(own, guard)).otherwise(F.array(own)))).drop("_range").withColumns({"_range": F.col("_to.range"), "_guard": F.col("_to.guard")}).drop("_to")
+    # as many partitions as ranges: a task's size follows the range, not a setting of the session
+    dealt = spread.repartition(len(starts), "_range")
+    window = Window.partitionBy("_range").orderBy("_guard", "_there", "_id", "_hash", "text")
+    return dealt.withColumn(name, F.lead(value).over(window)).where("_guard = 0").drop("_range", "_guard", "_there", "_id", "_hash")
 
 
 def compare_neighbours(docs: DataFrame, k: int = K, slots: int = SLOTS, take: int = TAKE) -> DataFrame:
