@@ -2,19 +2,22 @@
 
 Fit. Letters of labelled texts give, for every language, log frequencies of
 letter trigrams (word ends included) and the scripts that it uses.
-The fit reads at most ``sample_docs`` labelled rows per language, those with the
-smallest hash of their text, and at most ``sample_chars`` characters of each; both
-bounds are parameters of the fit alone.
-
-Prediction, over whole texts. The script range of a word's first letter leaves
-the languages that use that script; the word's score for each of them is the sum of the
-log-probabilities of its trigrams, relative to the best language. A Viterbi pass with a switching
-penalty labels spans of words. Words in a script that no language uses are ``und``,
+The fit reads at most ``sample_docs`` distinct labelled texts per language, those with the
+smallest hash, and reads them whole; the bound is a parameter of the fit alone. Languages
+are taken to be few enough for a table of them on the driver.
+
+Prediction, over whole texts. Words are runs of letters (Unicode category L). A run of more
+than ``LONG_RUN`` letters, as scripts without spaces have them, is read in pieces of that many
+letters; every trigram counts, also those across pieces. The script range of a word's first
+letter leaves the languages that use that script; the word's score for each of them is the sum
+of the log-probabilities of its trigrams, relative to the best language. A Viterbi pass with a
+switching penalty labels spans of words. Words in a script that no language uses are ``und``,
 whatever surrounds them. The language with most letters in its spans is the
-prediction, its share of all letters the score.
+prediction (of equals the first by name), its share of all letters the score.
 
 Null texts and texts without a letter, or without one in a learned script, are ``und`` with score 0. With no labelled
-row at all every text is ``und``. Repeated rows are predicted alike.
+row at all every text is ``und``. Repeated rows are predicted alike; an empty table gives an empty result; other
+columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -31,7 +34,9 @@ from pyspark.sql import functions as F
 from nodeloom.llm.common import bound_batches, by_batch, crc_fold
 
 UNDETERMINED = "und"
-SAMPLE_DOCS, SAMPLE_CHARS = 1_500, 4_000
+SAMPLE_DOCS = 1_500
+#: Letters of a run that are read as one word.
+LONG_RUN = 64
 SWITCH = 12.0
 MEMO_WORDS = 400_000
 ORDERS = (3,)
@@ -44,7 +49,37 @@ SCRIPTS = (
     (0xD7B0, "other"), (0xF900, "han"), (0xFB00, "latin"), (0xFB1D, "hebrew"), (0xFB50, "arabic"), (0xFE70, "arabic"), (0xFF00, "latin"), (0xFF66, "kana"), (0x10000, "other"), (0x20000, "han"),
 )
 _STARTS = [a for a, _ in SCRIPTS]
-LETTERS = re.compile(r"[^\W\d_]+")
+_ALPHANUMERIC = re.compile(r"[^\W\d_]+")
+#: Marks a piece of a longer run among words; what follows is padded already.
+_PIECE = "\0"
+
+
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters (category L), lower case. Digits of every kind, fractions and circled numbers end a run."""
+    words = _ALPHANUMERIC.findall(text.lower())
+    if words and not "".join(words).isalpha():
+        words = [x for w in words for x in ("".join(c if c.isalpha() else " " for c in w).split())]
+    return words
+
+
+def pieces(run: str) -> list[str]:
+    """A run cut into pieces of LONG_RUN letters: each holds the padded letters of its own trigrams, one for each letter."""
+    padded = f"<{run}>"
+    return [_PIECE + padded[a : a + LONG_RUN + 2] for a in range(0, len(run), LONG_RUN)]
+
+
+def padded(word: str) -> str:
+    return word[1:] if word[0] == _PIECE else f"<{word}>"
+
+
+def units(text: str) -> tuple[list[str], list[int]]:
+    """Words, long ones in pieces, and the number of letters of each."""
+    words = letter_runs(text)
+    sizes = list(map(len, words))
+    if sizes and max(sizes) > LONG_RUN:
+        words = [x for w, n in zip(words, sizes) for x in (pieces(w) if n > LONG_RUN else [w])]
+        sizes = [len(w) - 3 if w[0] == _PIECE else len(w) for w in words]
+    return words, sizes
 
 
 def script(letter: str) -> str:
@@ -54,7 +89,7 @@ def script(letter: str) -> str:
 
 
 def grams(word: str) -> list[str]:
-    s = f"<{word}>"
+    s = padded(word)
     return [s[i : i + n] for n in ORDERS for i in range(len(s) - n + 1)]
 
 
@@ -68,36 +103,36 @@ class Model:
 
     def word(self, w: str) -> tuple[float, ...]:
         """Log-likelihood of a word for each language, relative to the best; languages that do not use its script get a floor."""
-        allowed = self.scripts.get(script(w[0]))
+        s = padded(w)
+        allowed = self.scripts.get(script(s[1]))
         if allowed is None:
             return (0.0,) * len(self.languages)
-        seen, s = self.scores.get, f"<{w[:64]}>"
-        unseen = self.unseen[3]
-        total = [sum(c) for c in zip(*[seen(s[i : i + 3]) or unseen for i in range(len(s) - 2)])]
+        seen = self.scores.get
+        total = [sum(c) for c in zip(*[seen(s[i : i + n]) or self.unseen[n] for n in ORDERS for i in range(len(s) - n + 1)])]
         best = max(total)
         return tuple([max(v - best, -20.0) if k in allowed else -20.0 for k, v in enumerate(total)])
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, switch: float = SWITCH) -> Model:
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, switch: float = SWITCH) -> Model:
     """Learn from rows with a lang, the held-out fold left out."""
     from pyspark.sql import Window
 
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_fold(F.col("doc_id")) != 0))
-    # a bounded sample: rows of each language by hash, thinned by a threshold on the hash before they are ranked
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    # a bounded sample: distinct texts of each language by hash, thinned by a threshold on the hash before they are ranked
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
     h = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
     thin = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 3 * sample_docs / n + 1e-6) * (1 << 30))) for k, n in counts.items()], F.lit(0.0)) if counts else F.lit(0.0)
-    few = labelled.select("lang", "text", h.alias("h")).where(F.col("h") <= thin)
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    few = few.withColumn("nth", nth).where(F.col("nth") <= sample_docs).select("lang", F.substring("text", 1, sample_chars).alias("text"))
+    few = labelled.select("lang", "text", h.alias("h")).where(F.col("h") <= thin).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    few = few.withColumn("nth", nth).where(F.col("nth") <= sample_docs).select("lang", "text")
 
     def count(columns):
         tables: dict[str, Counter] = {}
         for lang, text in zip(*columns):
             table = tables.setdefault(lang, Counter())
-            for w in LETTERS.findall(text.lower()):
-                table.update(grams(w[:64]))
-                table["\0" + script(w[0])] += len(w)
+            for w, n in zip(*units(text)):
+                table.update(grams(w))
+                table["\0" + script(padded(w)[1])] += n
         rows = [(lang, g, n) for lang, table in tables.items() for g, n in table.items()]
         return [list(c) for c in zip(*rows)] if rows else [[], [], []]
 
@@ -170,30 +205,30 @@ class Labeller:
             self.used += 1
         return self.table[np.fromiter(map(row.__getitem__, words), np.int64, len(words))]
 
-    def path(self, text: str | None) -> tuple[list[str], np.ndarray]:
-        """Words and the place of each one's language, or the place behind the last language for words in unlearned scripts."""
-        words = LETTERS.findall((text or "").lower())
+    def path(self, text: str | None) -> tuple[list[int], np.ndarray]:
+        """Letters of each word and the place of its language, or the place behind the last language for words in unlearned scripts."""
+        words, sizes = units(text or "")
         if not words or not self.model.languages:
             return [], np.empty(0, np.int64)
         scores = self.scores(words)
         path = viterbi(scores, self.model.switch)
         for i in np.flatnonzero(~scores.any(axis=1)).tolist():  # without any difference: of no learned script, or equally likely in all
-            if script(words[i][0]) not in self.model.scripts:
+            if script(padded(words[i])[1]) not in self.model.scripts:
                 path[i] = len(self.model.languages)
-        return words, path
+        return sizes, path
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words, path = self.path(text)
-        if not words:
+        sizes, path = self.path(text)
+        if not sizes:
             return UNDETERMINED, 0.0
-        letters = np.bincount(path, weights=np.fromiter(map(len, words), np.float64, len(words)), minlength=len(self.model.languages) + 1)
+        letters = np.bincount(path, weights=np.array(sizes, np.float64), minlength=len(self.model.languages) + 1)
         k = int(letters[:-1].argmax())
         if not letters[k]:
             return UNDETERMINED, 0.0
         return self.model.languages[k], float(letters[k] / letters.sum())
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
-        """(first word, word after the last, language) of each span."""
+        """(first word, word after the last, language) of each span; pieces of a long run count as words."""
         _, path = self.path(text)
         cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)] if len(path) else [0]
         names = [*self.model.languages, UNDETERMINED]
