@@ -12,8 +12,12 @@ sizes fills the budget. Keys are first summed in fine steps, so that only the on
 step in which a source's budget ends has to be sorted, however large the
 source. The document at the edge is taken if that brings the sum nearer.
 
-Null texts have size 0. Repeated rows and ids are rows of their own. Sources are
-ordered by code point, null last. Empty tables give empty results.
+Weights. By default the mean word length gives a document's quality, as it is known for every
+document, while labels cover some only; ``weight`` takes any other column expression.
+
+Null texts have size 0. Repeated rows and ids are rows of their own; null ids draw by the hash of
+their text. Sources are ordered by code point, null last; equal keys are taken in order of id, then of
+the text's hash. Empty tables give empty results. The plan over the sources (one row each) is made in one task.
 """
 
 from __future__ import annotations
@@ -45,30 +49,33 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, most_epochs
     ordered = Window.orderBy(F.col("source").asc_nulls_last())
     place = (F.row_number().over(ordered) - 1) % len(weights) + 1
     weighted = sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), place)).withColumn("limit", F.col("source_size") * F.lit(float(most_epochs)))
-    up = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    rising = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
+    up = rising.rowsBetween(Window.unboundedPreceding, -1)
     all_ = Window.partitionBy(F.lit(1))
     level = weighted.select(
         "*",
+        F.row_number().over(rising).alias("place"),
         F.coalesce(F.sum("limit").over(up), F.lit(0.0)).alias("stopped"),
         (F.sum("weight").over(all_) - F.coalesce(F.sum("weight").over(up), F.lit(0.0))).alias("open"),
         (F.sum("source_size").over(all_) * F.lit(float(share))).alias("budget"),
     ).withColumn("own", (F.col("budget") - F.col("stopped")) / F.col("open"))
     # the first source in this order that does not stop sets the level
-    lowest = F.min(F.when(F.col("own") * F.col("weight") <= F.col("limit"), F.struct(F.col("limit") / F.col("weight"), F.col("own").alias("own")))).over(all_)["own"]
+    lowest = F.min(F.when(F.col("own") * F.col("weight") <= F.col("limit"), F.struct("place", "own"))).over(all_)["own"]
     return level.withColumn("level", lowest).select("source", "source_size", "weight", F.least("limit", F.coalesce(F.col("level") * F.col("weight"), F.col("limit"))).alias("target"))
 
 
-def sized(docs: DataFrame, seed: int = 17) -> DataFrame:
-    """Narrow table of all rows: doc_id, source, size, key (ascending draw order), step."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words(F.col("text")).alias("size"), "text", F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit(f":{seed}")).cast("binary"), 256).alias("h"), F.xxhash64("text").alias("tie"))
+def sized(docs: DataFrame, seed: int = 17, weight: Column | None = None) -> DataFrame:
+    """Narrow table of all rows: doc_id, source, size, key (ascending draw order), step. weight: a positive column of docs in place of ``quality``."""
+    weight = quality(F.col("text"), words(F.col("text"))) if weight is None else weight
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words(F.col("text")).alias("size"), F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.xxhash64("text").cast("string"))), F.lit(f":{seed}")).cast("binary"), 256).alias("h"), F.xxhash64("text").alias("tie"), weight.alias("weight"))
     u = (F.coalesce(F.conv(F.substring("h", 1, 13), 16, 10).cast("long"), F.lit(0)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    keyed = base.select("doc_id", "source", "size", "tie", (-F.log(u) / quality(F.col("text"), F.col("size"))).alias("key"))
+    keyed = base.select("doc_id", "source", "size", "tie", (-F.log(u) / F.coalesce("weight", F.lit(0.25))).alias("key"))
     return keyed.withColumn("step", F.floor((1 - F.exp(-F.col("key"))) * STEPS).cast("int"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most_epochs: int = 2, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most_epochs: int = 2, seed: int = 17, weight: Column | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken, times: how often the mix takes each row of docs."""
-    rows = cut(sized(docs, seed))
+    rows = cut(sized(docs, seed, weight))
     steps = rows.groupBy("source", "step").agg(F.sum("size").alias("size"))
     steps = cut(steps)
     plan = targets(steps.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most_epochs)

@@ -28,10 +28,10 @@ def mixing_sql(share: float = 1.5, most_epochs: int = 2, seed: int = 17) -> str:
                         / (case when chars / greatest(size, 1) between 3 and 10 then 1.0 when chars / greatest(size, 1) between 2 and 20 then 0.5 else 0.25 end) as key from d),
         s as (select source, sum(size)::bigint as source_size, list_extract([{weights}], ((row_number() over (order by encode(source) nulls last) - 1) % {len(WEIGHTS)} + 1)::int)::double as weight from k group by source),
         o as (select *, {most_epochs} * source_size as lim, sum(source_size) over () * {share} as budget,
-                     coalesce(sum({most_epochs} * source_size) over w, 0) as stopped, sum(weight) over () - coalesce(sum(weight) over w, 0) as open
+                     coalesce(sum({most_epochs} * source_size) over w, 0) as stopped, sum(weight) over () - coalesce(sum(weight) over w, 0) as open, row_number() over (order by {most_epochs} * source_size / weight, source nulls last) as place
               from s window w as (order by {most_epochs} * source_size / weight, source nulls last rows between unbounded preceding and 1 preceding)),
         l as (select *, (budget - stopped) / open as own from o),
-        t as (select source, source_size, least(lim, coalesce((select arg_min(own, lim / weight) from l where own * weight <= lim) * weight, lim))::double as target from l),
+        t as (select source, source_size, least(lim, coalesce((select arg_min(own, place) from l where own * weight <= lim) * weight, lim))::double as target from l),
         e as (select *, floor(case when source_size > 0 then target / source_size else 0 end + 1e-12)::bigint as epochs from t),
         r as (select k.doc_id, k.size, e.source_size, e.target, e.epochs, greatest(e.target - e.epochs * e.source_size, 0) as rest, sum(k.size) over (partition by k.source order by k.key, k.doc_id rows between unbounded preceding and current row) as run
               from k join e on k.source is not distinct from e.source)
