@@ -8,8 +8,14 @@ licenses on one line. Only the table of known digests, a few dozen rows, is broa
 Full texts are the files of the folder ``licenses``, named by license, which the
 driver alone reads.
 
+A copyright line begins with the word or sign and names a year, a place for one, or a
+holder and nothing else; prose that a line break happens to begin with "copyright"
+(holders, notice, license ...) stays, so that the form does not depend on wrapping.
+
 Null texts count as empty; an empty form matches nothing. Rows are matched one by
-one; repeated rows give repeated results.
+one; repeated rows give repeated results; an empty table gives an empty result; other columns are
+ignored. Texts and lines of any length are read whole, in time linear in their length.
+Of two known texts with one form the license first by name is given.
 """
 
 from __future__ import annotations
@@ -22,8 +28,15 @@ from pyspark.sql import functions as F
 
 from nodeloom.llm.common import ascii_lower
 
-#: Lines that vary from copy to copy of a license.
-COPYRIGHT_LINE = r"(?m)^[ \t#*/;-]*(copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+#: What may stand before a copyright sign on its line.
+_LEAD = r"^[ \t#*/;-]*"
+#: Words that continue "copyright" in the prose of licenses, not in a holder's name (fixed values).
+PROSE = ("and", "as", "disclaimer", "disclaimers", "holder", "holders", "in", "interest", "interests", "is", "law", "laws", "licence", "license", "licenses", "notice", "notices", "on", "or", "owner", "owners", "over", "permission", "protection", "rights", "statement", "statements", "the", "this", "to", "treaty", "under", "was", "work")
+#: Lines that vary from copy to copy of a license: a sign or year behind "copyright", a bare sign, a holder's name alone, the reservation alone.
+COPYRIGHT_LINE = (
+    rf"(?m){_LEAD}(?:copyright[ \t:,]*(?:\(c\)|©|[<\[{{(]?(?:[0-9]{{4}}\b|y{{2,4}}\b|year\b))[^\n]*|(?:\(c\)|©)[^\n]*"
+    rf"|copyright[ \t:]+(?!(?:{'|'.join(PROSE)})\b)[^\n.;]{{1,80}}\.?|all rights reserved[ \t.]*)$"
+)
 #: Everything in ASCII that is neither letter nor digit.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -31,7 +44,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("authorisation", "authorization"), ("behaviour", "behavior"), ("catalogue", "catalog"), ("centre", "center"),
     ("favour", "favor"), ("fulfilment", "fulfillment"), ("initialise", "initialize"), ("labour", "labor"), ("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"),
-    ("merchantability and fitness", "merchantability and fitness"), ("modelling", "modeling"), ("non commercial", "noncommercial"), ("non infringement", "noninfringement"),
+    ("modelling", "modeling"), ("non commercial", "noncommercial"), ("non infringement", "noninfringement"),
     ("organisation", "organization"), ("organisations", "organizations"), ("owner", "holder"), ("owners", "holders"), ("programme", "program"), ("sub license", "sublicense"),
     ("utilisation", "utilization"), ("whilst", "while"), ("wilful", "willful"), ("https", "http"),
 )
@@ -58,13 +71,14 @@ KNOWN = (
 def canonical(text: Column) -> Column:
     """Canonical form of an entire text."""
     bare = F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
-    return spelt(F.concat(F.lit(" "), F.btrim(F.regexp_replace(bare, SEPARATORS, " ")), F.lit(" ")))
+    # two spaces between words, so that neighbours do not share one and each is replaced
+    return spelt(F.concat(F.lit(" "), F.btrim(F.regexp_replace(bare, SEPARATORS, "  ")), F.lit(" ")))
 
 
 def spelt(padded: Column) -> Column:
     for said, meant in SPELLINGS:
-        padded = F.replace(padded, F.lit(f" {said} "), F.lit(f" {meant} "))
-    return F.btrim(padded)
+        padded = F.replace(padded, F.lit(f" {said.replace(' ', '  ')} "), F.lit(f" {meant} "))
+    return F.btrim(F.replace(padded, F.lit("  "), F.lit(" ")))
 
 
 def digest(text: Column) -> Column:
