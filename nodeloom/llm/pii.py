@@ -21,8 +21,12 @@ that stand in at most N ** (1 - threshold) texts. A higher ``support`` asks for
 repeated evidence. An entity in every text tells nothing and adds no terms.
 ``sanitise`` generalises base spans to their kind and removes terms.
 
-Null texts count as empty. Rows that repeat id and text get the same result each
-(and count as often as they occur among the texts that hold a term).
+Counts are of distinct texts: copies and repeated rows are one piece of evidence, however
+many they are. Ties do not arise, as a term passes the threshold or not.
+
+Null texts count as empty. Rows that repeat id and text get the same result each. An empty table gives an
+empty result, other columns are ignored. Texts of any length are read whole; positions follow from running
+sums that double their reach, so the work on a text with n matches is n log n.
 """
 
 from __future__ import annotations
@@ -72,20 +76,31 @@ VALID: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def located(text: Column, pattern: str | Column) -> Column:
-    """All matches as array<struct<start, end, text>>, offsets in code points, end exclusive."""
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+def running_sum(values: Column) -> Column:
+    """Sums of an int array up to each place: every pass adds the value 1, 2, 4 ... places to the left."""
+    shifts = F.filter(F.array(*[F.lit(1 << n) for n in range(30)]), lambda k: k < F.size(values))
+    return F.aggregate(shifts, values, lambda sums, k: F.transform(sums, lambda x, j: F.when(j >= k, x + F.get(sums, j - k)).otherwise(x)))
 
-    def add(found: Column) -> Column:
-        parts = F.split(text, pattern, -1)
 
-        def step(state: Column, i: Column) -> Column:
-            start = state["at"] + F.length(F.get(state["parts"], i))
-            end = start + F.length(F.get(found, i))
-            return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("text")))).alias("out"), state["parts"].alias("parts"))
+def running_max(values: Column) -> Column:
+    """Largest value of an int array up to each place, in the same way."""
+    shifts = F.filter(F.array(*[F.lit(1 << n) for n in range(30)]), lambda k: k < F.size(values))
+    return F.aggregate(shifts, values, lambda most, k: F.transform(most, lambda x, j: F.when(j >= k, F.greatest(x, F.get(most, j - k))).otherwise(x)))
+
+
+def located(text: Column, pattern: str | Column, valid: Callable[[Column], Column] | None = None) -> Column:
+    """All matches, or the valid ones, as array<struct<start, end, text>>, offsets in code points, end exclusive."""
+    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+
+    def placed(found: Column) -> Column:
+        ends = lambda parts: running_sum(F.transform(found, lambda m, i: F.length(F.get(parts, i)) + F.length(m)))
+        spans = lambda e: F.transform(found, lambda m, i: F.struct((F.get(e, i) - F.length(m)).alias("start"), F.get(e, i).alias("end"), m.alias("text")))
+        return let(let(F.split(text, pattern, -1), ends), spans)
 
-        first = F.struct(F.lit(0).alias("at"), none.alias("out"), parts.alias("parts"))
-        return F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), first, step, lambda s: s["out"])).otherwise(none)
+    def add(found: Column) -> Column:
+        if valid is None:
+            return F.when(F.size(found) > 0, placed(found)).otherwise(none)
+        return F.when(F.exists(found, valid), F.filter(placed(found), lambda s: valid(s["text"]))).otherwise(none)
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), add)
 
@@ -96,8 +111,7 @@ def base_spans(text: Column) -> dict[str, Column]:
     needs = {"email": "@", "ip": ".", "card": None, "phone": "+"}
     found = {}
     for kind in KINDS:
-        valid = VALID[kind]
-        spans = F.filter(located(text, PATTERNS[kind]), lambda s: valid(s["text"]))  # noqa: B023  called at once
+        spans = located(text, PATTERNS[kind], VALID[kind])
         may = F.contains(text, F.lit(needs[kind])) if needs[kind] else text.rlike(r"[0-9][0-9\x20-]{11,}[0-9]")
         may = may & text.rlike(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]") if kind == "ip" else may
         found[kind] = F.when(may, spans).otherwise(none)
@@ -119,8 +133,17 @@ def _among(rows: DataFrame, keys: DataFrame, column: str, most: int) -> DataFram
     return rows.join(F.broadcast(keys) if keys.count() <= most else keys, column, "left_semi")
 
 
+def distinct_texts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """h, text of each distinct text once. Only texts that have copies are shuffled, one of them from each task."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.xxhash64(text).alias("h"), text.alias("text"))
+    copied = cut(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    copied = F.broadcast(copied) if copied.count() <= BROADCAST_TEXTS else copied
+    return rows.join(copied, "h", "left_anti").unionByName(rows.join(copied, "h", "left_semi").groupBy("h").agg(F.min("text").alias("text")))
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD, term_length: int = TERM_LENGTH) -> tuple[DataFrame, DataFrame] | None:
-    """(h, t) of all texts that hold a term that discloses some entity, as hashes, and (h, text) of one row of each text; None without entities."""
+    """(h, t) of all texts that hold a term that discloses some entity, as hashes, and (h, text) of each distinct text; None without entities."""
     values = F.flatten(F.array(*[F.transform(k, lambda s: F.concat(F.lit(k + ":"), F.lower(s["text"]))) for k in KINDS]))  # noqa: B023
     held = found.where(" or ".join(f"size({k}) > 0" for k in KINDS)).select("h", F.explode(F.array_distinct(values)).alias("entity")).select("h", F.xxhash64("entity").alias("e"))
     held = cut(held.distinct())
@@ -128,10 +151,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
     if known.isEmpty():
         return None
     held = cut(held.join(known, "e").select("h", "e", "n_e"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    # each distinct text once, with what it holds
-    own = cut(held.select("h").distinct())
-    own_text = cut(_among(docs.select(F.xxhash64(text).alias("h"), text.alias("text")), own, "h", BROADCAST_TEXTS).dropDuplicates(["h"]))
+    rows = distinct_texts(docs, found)
+    own_text = cut(_among(rows, cut(held.select("h").distinct()), "h", BROADCAST_TEXTS))
     terms_of = lambda t: F.array_distinct(F.transform(F.filter(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.length(w) >= term_length), lambda w: F.xxhash64(F.lower(w))))
     own_terms = own_text.select("h", F.explode(terms_of(F.col("text"))).alias("t"))
     total = float(found.agg(F.count_distinct("h")).first()[0])
@@ -140,19 +161,18 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
     here = own_terms.groupBy("t").agg(F.count("*").alias("n_here"))
     pairs = held.join(own_terms, "h").groupBy("e", "n_e", "t").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
     pairs = cut(pairs.join(here, "t").where((F.col("n_here") <= at_most) & (F.col("n_e") < total)).select("e", "n_e", "t", "n_et"))
-    # one row of each text is counted, so that counts add up in the tasks and only sums are shuffled
-    copies = cut(found.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("_first")).where("n > 1").select(F.col("h").alias("_h"), "_first"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    rows = rows.join(F.broadcast(copies) if copies.count() <= BROADCAST_TEXTS else copies, F.col("h") == F.col("_h"), "left").where(F.col("_h").isNull() | F.col("doc_id").eqNullSafe(F.col("_first"))).select("h", "text")
+    # counts add up in the tasks, so that only sums are shuffled
     everywhere = rows.select("h", F.explode(terms_of(F.col("text"))).alias("t"))
     counts = cut(everywhere.groupBy("t").agg(F.count("*").alias("n_t")))
     share = F.log(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(total) / F.col("n_e"))
-    disclosing = cut(pairs.join(counts, "t").where(share >= threshold).groupBy("t").agg(F.first("n_t").alias("n_t")))
-    # most places are taken by at most BROADCAST_TERMS common words, which disclose nothing: they go before the shuffle
-    widest, places = disclosing.agg(F.max("n_t")).first()[0] or 0, counts.agg(F.sum("n_t")).first()[0] or 0
-    common = counts.where(F.col("n_t") > max(widest, places / BROADCAST_TERMS)).select("t")
-    rare = everywhere.join(F.broadcast(common), "t", "left_anti")
-    return _among(rare, disclosing.select("t"), "t", BROADCAST_TERMS), rows
+    disclosing = cut(pairs.join(counts, "t").where(share >= threshold).select("t", "n_t").distinct())
+    # terms of more texts than a BROADCAST_TERMS-th of all places are at most BROADCAST_TERMS: where they are read, the disclosing ones are
+    # settled and the others go; only places of rarer words, a small share, are shuffled to be looked up
+    common = (counts.agg(F.sum("n_t")).first()[0] or 0) / BROADCAST_TERMS
+    often = counts.where(F.col("n_t") > common).join(disclosing.select("t", F.lit(True).alias("tells")), "t", "left").select("t", F.coalesce("tells", F.lit(False)).alias("tells"))
+    settled = everywhere.join(F.broadcast(cut(often)), "t", "left")
+    rare = _among(settled.where("tells is null").select("h", "t"), disclosing.where(F.col("n_t") <= common).select("t"), "t", BROADCAST_TERMS)
+    return settled.where("tells").select("h", "t").unionByName(rare), rows
 
 
 def term_spans(docs: DataFrame, found: DataFrame, **how) -> DataFrame:
@@ -198,11 +218,9 @@ def sanitise(docs: DataFrame, **how) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), text.alias("_text"), F.xxhash64(text).alias("_hash"))
     joined = rows.join(found, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("h")))
-
-    def step(state: Column, s: Column) -> Column:
-        piece = F.concat(state["out"], F.substring(F.col("_text"), state["at"] + 1, s["start"] - state["at"]), s["by"])
-        return F.when(s["start"] < state["at"], state).otherwise(F.struct(s["end"].alias("at"), piece.alias("out")))
-
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("marked", first, step, lambda s: F.concat(s["out"], F.substring(F.col("_text"), s["at"] + 1, F.length("_text"))))
-    return joined.select(F.col("_doc").alias("doc_id"), clean.alias("text"))
+    # where each span would begin to be copied: behind the furthest end so far; a span that begins before it is passed over
+    reach = running_max(F.transform("marked", lambda s: s["end"]))
+    free = lambda r: F.filter("marked", lambda s, i: (i == 0) | (s["start"] >= F.coalesce(F.get(r, i - 1), F.lit(0))))
+    piece = lambda kept: F.transform(kept, lambda s, i: F.concat(F.substring(F.col("_text"), F.coalesce(F.get(kept, i - 1)["end"], F.lit(0)) + 1, s["start"] - F.coalesce(F.get(kept, i - 1)["end"], F.lit(0))), s["by"]))
+    whole = lambda kept: F.concat(F.array_join(piece(kept), ""), F.substring(F.col("_text"), F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0)) + 1, F.length("_text")))
+    return joined.select(F.col("_doc").alias("doc_id"), let(let(reach, free), whole).alias("text"))
