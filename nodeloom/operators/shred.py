@@ -4,7 +4,11 @@ Every page is parsed by one pass of the standard tree rules used by all operator
 an end tag closes the nearest open element of its name, unmatched end tags are
 ignored, void elements never open. Nodes carry an interval (pre, post_end), so
 "descendant" is a range test, and the enclosing tables, row and link, so that most
-containment joins become plain grouping.
+containment joins become plain grouping. What one pass knows about a table cell is
+kept with it (row, column, section, part and place of its row, place in the body grid), so table rules need no
+windows. ``up`` holds the distinct names of the open elements, not the path, and
+``brief`` the first BRIEF characters of an element's text: both stay short however
+deep a page nests. Only elements that rules read whole (WITH_TEXT) keep their text.
 
 Null html gives no nodes. A page that cannot be parsed gives one node of kind
 ``error`` instead of failing the job.
@@ -12,6 +16,7 @@ Null html gives no nodes. A page that cannot be parsed gives one node of kind
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -22,17 +27,24 @@ from pyspark.sql import functions as F
 
 #: Elements without content (fixed values, HTML standard).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose whole text is kept with them.
-WITH_TEXT = frozenset("a button caption dd dt figcaption h1 h2 h3 h4 h5 h6 label li option p summary td th title".split())
+#: Elements whose whole text is kept with them; none of them nests in practice but through missing end tags.
+WITH_TEXT = frozenset("a button caption figcaption h1 h2 h3 h4 h5 h6 label option summary td th title".split())
+#: Elements that hold a page's main text; nodes know the nearest one around them.
+BLOCKS = frozenset("article main section div td body".split())
+#: Characters of an element's text that are kept with it (one more tells that there is more); contexts read 240 and 250.
+BRIEF = 250
 
 SCHEMA = (
-    "page_id long, pre int, post_end int, parent int, depth int, elem_ix int, top_ix int, kind string, tag string, attrs map<string,string>, "
-    "text string, parent_tag string, up array<string>, tables array<int>, row_pre int, a_pre int, line int"
+    "page_id long, pre int, post_end int, parent int, depth int, elem_ix int, top_ix int, kind string, tag string, attrs map<string,string>, text string, parent_tag string, "
+    "up array<string>, tables array<int>, row_pre int, a_pre int, line int, brief string, row_ix int, col_ix int, section string, n_cells int, grid_row int, grid_cols int, block_pre int, part int, row_nth int"
 )
 _ARROW = pa.schema(
     [("page_id", pa.int64()), *[(c, pa.int32()) for c in ("pre", "post_end", "parent", "depth", "elem_ix", "top_ix")], ("kind", pa.string()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
-     ("text", pa.string()), ("parent_tag", pa.string()), ("up", pa.list_(pa.string())), ("tables", pa.list_(pa.int32())), ("row_pre", pa.int32()), ("a_pre", pa.int32()), ("line", pa.int32())]
+     ("text", pa.string()), ("parent_tag", pa.string()), ("up", pa.list_(pa.string())), ("tables", pa.list_(pa.int32())), ("row_pre", pa.int32()), ("a_pre", pa.int32()), ("line", pa.int32()), ("brief", pa.string()),
+     ("row_ix", pa.int32()), ("col_ix", pa.int32()), ("section", pa.string()), *[(c, pa.int32()) for c in ("n_cells", "grid_row", "grid_cols", "block_pre", "part", "row_nth")]]
 )
+_PLACE = {f.name: i for i, f in enumerate(_ARROW)}
+_TAG, _TEXT, _UP, _TABLES, _BRIEF, _CELLS, _GRID = (_PLACE[c] for c in ("tag", "text", "up", "tables", "brief", "n_cells", "grid_row"))
 
 
 class Shredder(HTMLParser):
@@ -42,23 +54,42 @@ class Shredder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.page_id, self.rows, self.open = page_id, [], []
         self.texts: dict[int, list[str]] = {}
+        self.briefs: dict[int, list] = {}  # open elements that take more text yet: length so far and parts
         self.children: dict[int, int] = {-1: 0}
+        self.trs: dict[int, int] = {}  # table -> rows so far
+        self.grids: dict[int, list[int]] = {}  # table -> rows of its body grid that have cells
         self.tops = 0
 
     def add(self, kind: str, tag: str | None, attrs: dict[str, str], text: str | None) -> int:
         parent = self.open[-1] if self.open else -1
-        up = self.rows[parent] if parent >= 0 else None
-        pre = len(self.rows)
+        over = self.rows[parent] if parent >= 0 else None
+        pre, inside = len(self.rows), over is not None
         if parent < 0:
             self.tops += 1
         ix = self.children[parent]
         if kind == "element":
             self.children[parent] = ix + 1
-        inside = up is not None
-        tables = (up[13] + [parent] if up[8] == "table" else up[13]) if inside else []
-        row = (parent if up[8] == "tr" else up[14]) if inside else None
-        link = (parent if up[8] == "a" else up[15]) if inside else None
-        self.rows.append([self.page_id, pre, pre, parent if inside else None, len(self.open), ix, up[6] if inside else self.tops - 1, kind, tag, list(attrs.items()), text, up[8] if inside else None, up[12] + [up[8]] if inside else [], tables, row, link, self.getpos()[0]])
+        up = (over[_UP] if over[_TAG] in over[_UP] else over[_UP] + [over[_TAG]]) if inside else []
+        tables = (over[_TABLES] + [parent] if over[_TAG] == "table" else over[_TABLES]) if inside else []
+        row = (parent if over[_TAG] == "tr" else over[_PLACE["row_pre"]]) if inside else None
+        link = (parent if over[_TAG] == "a" else over[_PLACE["a_pre"]]) if inside else None
+        block = (parent if over[_TAG] in BLOCKS else over[_PLACE["block_pre"]]) if inside else None
+        row_ix = col_ix = section = cells = grid = part = nth = None
+        if tag == "tr" and tables:
+            row_ix, cells = self.trs.get(tables[-1], 0), 0
+            self.trs[tables[-1]] = row_ix + 1
+        elif tag in ("td", "th") and inside and over[_TAG] == "tr" and tables:
+            row_ix, col_ix, section = over[_PLACE["row_ix"]], over[_CELLS], over[_PLACE["parent_tag"]]
+            part, nth = over[3], over[5]
+            over[_CELLS] += 1
+            if section in ("table", "tbody"):
+                rows = self.grids.setdefault(tables[-1], [])
+                if not col_ix:
+                    over[_GRID] = len(rows)
+                    rows.append(parent)
+                grid = over[_GRID]
+        self.rows.append([self.page_id, pre, pre, parent if inside else None, len(self.open), ix, over[6] if inside else self.tops - 1, kind, tag, list(attrs.items()), text, over[_TAG] if inside else None, up, tables, row, link, self.getpos()[0],
+                          None, row_ix, col_ix, section, cells, grid, None, block, part, nth])
         return pre
 
     def handle_starttag(self, tag, attrs):
@@ -68,26 +99,43 @@ class Shredder(HTMLParser):
             self.texts[pre] = []
         if tag not in VOID:
             self.open.append(pre)
+            self.briefs[pre] = [0, []]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def shut(self, pres: list[int]) -> None:
+        for pre in pres:
+            self.rows[pre][2] = len(self.rows) - 1
+            held = self.briefs.pop(pre, None)
+            if held and held[1]:
+                self.rows[pre][_BRIEF] = " ".join(held[1])[: BRIEF + 1]
+
     def handle_endtag(self, tag):
         for at in range(len(self.open) - 1, -1, -1):
-            if self.rows[self.open[at]][8] == tag:
-                for pre in self.open[at:]:
-                    self.rows[pre][2] = len(self.rows) - 1
+            if self.rows[self.open[at]][_TAG] == tag:
+                self.shut(self.open[at:])
                 del self.open[at:]
                 return
 
     def handle_data(self, data):
-        if data.strip():
+        said = data.strip()
+        if said:
             self.add("text", None, {}, data)
-            for pre in self.open:
-                if pre in self.texts:
-                    self.texts[pre].append(data.strip())
+            if self.texts:
+                for pre in self.open:
+                    if pre in self.texts:
+                        self.texts[pre].append(said)
+            full = []
+            for pre, held in self.briefs.items():
+                held[0] += len(said) + bool(held[1])
+                held[1].append(said[: BRIEF + 1])
+                if held[0] > BRIEF:
+                    full.append(pre)
+            for pre in full:  # an element that has enough is not met again
+                self.rows[pre][_BRIEF] = " ".join(self.briefs.pop(pre)[1])[: BRIEF + 1]
 
     def handle_comment(self, data):
         self.add("comment", None, {}, data)
@@ -97,10 +145,13 @@ class Shredder(HTMLParser):
 
     def finish(self) -> list[list]:
         self.close()
-        for pre in self.open:
-            self.rows[pre][2] = len(self.rows) - 1
+        self.shut(self.open)
         for pre, parts in self.texts.items():
-            self.rows[pre][10] = " ".join(parts)
+            self.rows[pre][_TEXT] = " ".join(parts)
+        columns = {table: min(self.rows[r][_CELLS] for r in rows) for table, rows in self.grids.items()}
+        for row in self.rows:
+            if row[_PLACE["col_ix"]] is not None and row[_GRID] is not None:
+                row[_PLACE["grid_cols"]] = columns[row[_TABLES][-1]]
         return self.rows
 
 
@@ -110,7 +161,7 @@ def parse(page_id: int | None, html: str) -> list[list]:
         shredder.feed(html)
         return shredder.finish()
     except Exception as e:  # noqa: BLE001  one bad page is a row, not a failed job
-        return [[page_id, 0, 0, None, 0, 0, 0, "error", None, [], repr(e)[:200], None, [], [], None, None, 1]]
+        return [[page_id, 0, 0, None, 0, 0, 0, "error", None, [], repr(e)[:200], None, [], [], None, None, 1, *[None] * 10]]
 
 
 def shred(pages: DataFrame) -> DataFrame:
@@ -127,11 +178,22 @@ def shred(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(run, SCHEMA)
 
 
+def shared_folder(spark) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset, a local folder in local mode and an error elsewhere."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"{tempfile.gettempdir()}/nodeloom-checkpoints"
+    return root.rstrip("/")
+
+
 def materialise(nodes: DataFrame) -> DataFrame:
-    """Nodes as a Parquet table in the shared checkpoint folder: rules with several branches parse each page once and read only their columns."""
+    """Nodes as a Parquet table in the shared checkpoint folder: rules with several branches parse each page once and read only their columns. It goes when the session's JVM ends."""
     spark = nodes.sparkSession
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/nodeloom-checkpoints").rstrip("/")
-    path = f"{root}/nodes-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/nodes-{uuid.uuid4().hex}"
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(held)
     nodes.write.parquet(path)
     return spark.read.parquet(path)
 

@@ -1,60 +1,83 @@
 """Table rules over nodes: shapes, layout and data tables, header direction, captions, row headers.
 
 All operators group by (page_id, table): ``table`` is the preorder number of the
-table element. Rows of nested tables count for each enclosing table, as a
-descendant test would have it. Tables without rows have shape 0.
+table element. The table node itself is in its group (``members``), so tables without
+content need no join. Rows of nested tables count for each enclosing table where the rule
+tests descendants; cells belong to their nearest table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nodeloom.functions import text as fx
 from nodeloom.operators.shred import elements
 
 
-def _tables(nodes: DataFrame) -> DataFrame:
-    return elements(nodes, "table").select("page_id", F.col("pre").alias("table"), "line")
+def members(nodes: DataFrame) -> DataFrame:
+    """Each node once for every table around it, a table also for itself (``own``)."""
+    own = F.coalesce(F.col("tag") == "table", F.lit(False))
+    around = F.when(own, F.concat("tables", F.array("pre"))).otherwise(F.col("tables"))
+    out = nodes.where((F.size("tables") > 0) | own).withColumn("table", F.explode(around))
+    return out.withColumn("own", F.coalesce(F.col("tag") == "table", F.lit(False)) & (F.col("table") == F.col("pre")))
 
 
-def descendants(nodes: DataFrame) -> DataFrame:
-    """Each node once for every table around it."""
-    return nodes.where(F.size("tables") > 0).withColumn("table", F.explode("tables"))
+def _span(name: str) -> Column:
+    return F.greatest(F.lit(1), F.coalesce(F.col("attrs")[name].try_cast("int"), F.lit(1)))
+
+
+def nearest() -> Column:
+    """The nearest table around a node, null outside tables."""
+    return F.get("tables", F.size("tables") - 1)
+
+
+def scope() -> Column:
+    return F.lower(F.coalesce(F.col("attrs")["scope"], F.lit("")))
 
 
 def cells(nodes: DataFrame) -> DataFrame:
-    """page_id, table, row_ix, col_ix, tag, text, colspan, rowspan, scope, section, pre: cells of the nearest table."""
-    inside = nodes.where(F.size("tables") > 0).withColumn("table", F.element_at("tables", -1))
-    rows = inside.where("tag = 'tr'").select("page_id", "table", F.col("pre").alias("row_pre"), F.col("parent_tag").alias("section"))
-    rows = rows.withColumn("row_ix", F.row_number().over(Window.partitionBy("page_id", "table").orderBy("row_pre")) - 1)
-    own = inside.where("tag in ('td', 'th') and parent_tag = 'tr'").drop("table")
-    joined = own.join(rows, ["page_id", "row_pre"])
-    span = lambda a: F.greatest(F.lit(1), F.coalesce(F.col("attrs")[a].try_cast("int"), F.lit(1)))
-    col = F.row_number().over(Window.partitionBy("page_id", "row_pre").orderBy("pre")) - 1
-    return joined.select("page_id", "table", "row_ix", col.alias("col_ix"), "tag", F.coalesce("text", F.lit("")).alias("text"), span("colspan").alias("colspan"), span("rowspan").alias("rowspan"), F.col("attrs")["scope"].alias("scope"), "section", "pre")
+    """page_id, table, row_ix, col_ix, tag, text, colspan, rowspan, scope, section, grid_row, grid_cols, part, row_nth, pre: cells of the nearest table. A filter: the parser has placed them."""
+    own = nodes.where("col_ix is not null")
+    return own.select("page_id", nearest().alias("table"), "row_ix", "col_ix", "tag", F.coalesce("text", F.lit("")).alias("text"), _span("colspan").alias("colspan"), _span("rowspan").alias("rowspan"), scope().alias("scope"), "section", "grid_row", "grid_cols", "part", "row_nth", "pre")
 
 
 def shapes(nodes: DataFrame) -> DataFrame:
-    """page_id, table, n_rows, min_cols, max_cols, blanks, total_colspan (of the first row)."""
-    grid = cells(nodes)
-    per_row = grid.groupBy("page_id", "table", "row_ix").agg(F.count("*").alias("n"), F.sum((fx.squeeze(F.col("text")) == "").cast("long")).alias("blank"), F.sum("colspan").alias("spans"))
-    per_table = per_row.groupBy("page_id", "table").agg(F.count("*").alias("n_rows"), F.min("n").alias("min_cols"), F.max("n").alias("max_cols"), F.sum("blank").alias("blanks"), F.max(F.when(F.col("row_ix") == 0, F.col("spans"))).alias("total_colspan"))
-    zero = {c: 0 for c in ("n_rows", "min_cols", "max_cols", "blanks", "total_colspan")}
-    return _tables(nodes).drop("line").join(per_table, ["page_id", "table"], "left").fillna(zero)
+    """page_id, table, n_rows, min_cols, max_cols, blanks, total_colspan (of the first row), over the rows of the nearest table; rows without cells have width 0."""
+    near = nodes.where(F.coalesce(F.col("tag").isin("table", "tr"), F.lit(False)) | F.col("col_ix").isNotNull())
+    near = near.withColumn("table", F.when(F.col("tag") == "table", F.col("pre")).otherwise(nearest())).where("table is not null")
+    row, cell = (F.col("tag") == "tr") & F.col("row_ix").isNotNull(), F.col("col_ix").isNotNull()
+    blank = cell & (fx.squeeze(F.col("text")) == "")
+    none = lambda c: F.coalesce(c, F.lit(0))
+    return near.groupBy("page_id", "table").agg(
+        F.sum(row.cast("long")).alias("n_rows"), none(F.min(F.when(row, F.col("n_cells")))).alias("min_cols"), none(F.max(F.when(row, F.col("n_cells")))).alias("max_cols"),
+        F.sum(blank.cast("long")).alias("blanks"), none(F.sum(F.when(cell & (F.col("row_ix") == 0), _span("colspan")))).alias("total_colspan"),
+    )
 
 
 def features(nodes: DataFrame) -> DataFrame:
-    """One row a table with the counts that the predicates read."""
-    inside = descendants(nodes)
-    is_ = lambda *tags: F.col("tag").isin(*tags).cast("long")
-    scoped = ((F.col("tag") == "th") & F.col("attrs")["scope"].isin("col", "row")).cast("long")
-    file_link = ((F.col("tag") == "a") & (F.coalesce(F.col("attrs")["href"], F.lit("")).rlike(fx.FILE_LINK) | F.contains(F.lower(F.coalesce(F.col("attrs")["type"], F.lit(""))), F.lit("pdf")))).cast("long")
-    ui = ((F.col("kind") == "text") & fx.contains_any(F.col("text"), fx.UI_WORDS)).cast("long")
-    merged = (F.coalesce(F.col("attrs")["colspan"].try_cast("int"), F.lit(1)) > 1) | (F.coalesce(F.col("attrs")["rowspan"].try_cast("int"), F.lit(1)) > 1)
-    names = {"captions": is_("caption"), "theads": is_("thead"), "n_tr": is_("tr"), "n_th": is_("th"), "scoped": scoped, "iframes": is_("iframe"), "imgs": is_("img"), "files": file_link, "controls": is_("a", "img", "br", "iframe", "button", "input", "select"), "media": is_("a", "img", "br", "iframe"), "ui": ui, "merged": merged.cast("long")}
-    per = inside.groupBy("page_id", "table").agg(*[F.sum(v).alias(k) for k, v in names.items()], F.min_by(F.when(F.col("tag") == "caption", F.col("text")), F.when(F.col("tag") == "caption", F.col("pre"))).alias("caption"))
-    return _tables(nodes).join(per, ["page_id", "table"], "left").fillna(0, list(names))
+    """One row a table with the counts that the predicates read, from one grouping."""
+    within = ~F.col("own")
+    is_ = lambda *tags: (within & F.coalesce(F.col("tag").isin(*tags), F.lit(False))).cast("long")
+    th = F.coalesce(F.col("tag") == "th", F.lit(False))
+    href = F.coalesce(F.col("attrs")["href"], F.lit(""))
+    file_link = F.coalesce((F.col("tag") == "a") & (href.rlike(fx.FILE_LINK) | F.contains(F.lower(F.coalesce(F.col("attrs")["type"], F.lit(""))), F.lit("pdf"))), F.lit(False))
+    ui = F.coalesce((F.col("kind") == "text") & fx.contains_any(F.col("text"), fx.UI_WORDS), F.lit(False))
+    digits = lambda a: F.coalesce(F.col("attrs")[a].rlike("^[0-9]+$") & (F.col("attrs")[a].try_cast("long") > 1), F.lit(False))
+    merged = within & (digits("colspan") | digits("rowspan"))
+    row = (F.col("tag") == "tr") & F.col("n_cells").isNotNull()
+    names = {
+        "captions": is_("caption"), "theads": is_("thead"), "n_tr": is_("tr"), "n_th": is_("th"), "scoped": (th & scope().isin("col", "row")).cast("long"), "bare_th": (th & (scope() == "")).cast("long"),
+        "iframes": is_("iframe"), "imgs": is_("img"), "files": file_link.cast("long"), "controls": is_("a", "img", "br", "iframe", "button", "input", "select"), "media": is_("a", "img", "br", "iframe"),
+        "ui": ui.cast("long"), "merged": merged.cast("long"), "direct_theads": (within & (F.col("tag") == "thead") & (F.col("parent") == F.col("table"))).cast("long"),
+    }
+    caption = F.when(F.col("tag") == "caption", F.struct("pre", F.coalesce("text", F.lit("")).alias("text"), F.col("line").alias("at")))
+    out = members(nodes).groupBy("page_id", "table").agg(
+        F.max(F.when(F.col("own"), F.col("line"))).alias("line"), *[F.coalesce(F.sum(v), F.lit(0)).alias(k) for k, v in names.items()], F.min(caption).alias("c"),
+        F.min(F.when(within & (F.col("tag") == "thead"), F.col("pre"))).alias("head"), F.min(F.when(within & (F.col("tag") == "tbody"), F.col("pre"))).alias("body"),
+        F.coalesce(F.min(F.when(row, F.col("n_cells"))), F.lit(0)).alias("narrowest"), F.coalesce(F.max(F.when(row, F.col("n_cells"))), F.lit(0)).alias("widest"),
+    )
+    return out.withColumns({"caption": F.col("c.text"), "caption_line": F.col("c.at")}).drop("c")
 
 
 def layout_reason(f: DataFrame) -> DataFrame:
@@ -69,28 +92,34 @@ def data_like(f: DataFrame) -> DataFrame:
     return f.withColumn("data_like", (F.col("captions") > 0) | ((F.col("theads") > 0) & (F.col("scoped") >= 1)) | ((F.col("n_th") >= 2) & (F.col("n_tr") >= 3) & (F.col("media") < F.greatest(F.lit(3), F.col("n_tr")))))
 
 
-def orientation(nodes: DataFrame) -> DataFrame:
-    """page_id, table, orient, reason, n_rows, n_cols, col_score, row_score, delta of every table with at least one cell."""
-    grid = cells(nodes)
-    width = grid.groupBy("page_id", "table", "row_ix").agg(F.count("*").alias("n")).groupBy("page_id", "table").agg(F.count("*").alias("n_rows"), F.min("n").alias("n_cols"), F.min("row_ix").alias("first_row"))
-    grid = grid.join(width, ["page_id", "table"]).where(F.col("col_ix") < F.col("n_cols"))
-    grid = grid.withColumn("r", F.dense_rank().over(Window.partitionBy("page_id", "table").orderBy("row_ix")) - 1)
+def orientation(nodes: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """page_id, table, orient, reason, n_rows, n_cols, col_score, row_score, delta of every table with cells in its body grid.
+
+    The grid holds the rows that stand in the table or its tbody and have cells, cut to the
+    narrowest. Tables with a thead of their own and layout tables are skipped, as the fix passes them over. known: features with layout, where they are at hand.
+    """
+    known = layout_reason(features(nodes)) if known is None else known
+    grid = cells(nodes).where((F.col("grid_row") >= 0) & (F.col("col_ix") < F.col("grid_cols")))
     own = fx.header_score(F.col("text"))
     blank = (fx.squeeze(F.col("text")) == "").cast("double")
 
     def data(at):
         on = lambda v: F.when(at, v)
         raw = F.col("text")
-        marks = [F.avg(on(fx.digit_share(raw))) >= 0.2, F.avg(on(F.length(raw).cast("double"))) > 10, F.coalesce(F.bool_or(on(raw.rlike(fx.PHONE))), F.lit(False)), F.coalesce(F.bool_or(on(raw.rlike("住所|所在地"))), F.lit(False))]
+        marks = [F.avg(on(fx.digit_share(raw))) >= 0.2, F.avg(on(F.length(raw).cast("double"))) > 10, F.bool_or(on(raw.rlike(fx.PHONE))), F.bool_or(on(raw.rlike("住所|所在地")))]
         return sum((F.coalesce(m, F.lit(False)).cast("double") * 0.5 for m in marks[1:]), F.coalesce(marks[0], F.lit(False)).cast("double") * 0.5)
 
-    first_row, first_col = F.col("r") == 0, F.col("col_ix") == 0
+    first_row, first_col = F.col("grid_row") == 0, F.col("col_ix") == 0
     scored = grid.groupBy("page_id", "table").agg(
-        F.max("n_rows").alias("n_rows"), F.max("n_cols").alias("n_cols"), F.avg(blank).alias("blank"), F.bool_or((first_row | first_col) & (F.col("tag") != "td")).alias("has_th"),
-        (F.avg(F.when(first_row, own)) + data(F.col("r") == 1)).alias("col_score"), (F.avg(F.when(first_col, own)) + data(F.col("col_ix") == 1)).alias("row_score"),
+        (F.max("grid_row") + 1).cast("long").alias("n_rows"), F.max("grid_cols").cast("long").alias("n_cols"), F.avg(blank).alias("blank"), F.bool_or((first_row | first_col) & (F.col("tag") != "td")).alias("has_th"),
+        (F.avg(F.when(first_row, own)) + data(F.col("grid_row") == 1)).alias("col_score"), (F.avg(F.when(first_col, own)) + data(F.col("col_ix") == 1)).alias("row_score"),
     )
     scored = scored.withColumn("delta", F.col("col_score") - F.col("row_score"))
-    reason = F.when(F.col("n_rows") < 2, "few_rows").when(F.col("n_cols") < 2, "few_cols").when(F.col("has_th"), "not_td").when(F.col("blank") > 0.5, "blank").when((F.col("col_score") >= 2.5) & (F.col("delta") >= 1), "col").when((F.col("row_score") >= 2.5) & (F.col("delta") <= -1), "row").otherwise("unclear")
+    scored = scored.join(known.select("page_id", "table", "direct_theads", "layout"), ["page_id", "table"])
+    reason = (
+        F.when(F.col("direct_theads") > 0, "thead").when(F.col("n_rows") < 2, "few_rows").when(F.col("layout"), "layout").when(F.col("n_cols") < 2, "few_cols").when(F.col("has_th"), "not_td").when(F.col("blank") > 0.5, "blank")
+        .when((F.col("col_score") >= 2.5) & (F.col("delta") >= 1), "col").when((F.col("row_score") >= 2.5) & (F.col("delta") <= -1), "row").otherwise("unclear")
+    )
     return scored.select("page_id", "table", F.when(reason.isin("col", "row"), reason).otherwise("none").alias("orient"), reason.alias("reason"), "n_rows", "n_cols", *[F.bround(c, 3).alias(c) for c in ("col_score", "row_score", "delta")])
 
 
@@ -102,21 +131,66 @@ def previous_heading(nodes: DataFrame, levels=("h2", "h3", "h4"), blank: bool =
     return marks.select("page_id", F.col("pre").alias("table"), "tag", before.alias("heading")).where("tag = 'table'").drop("tag")
 
 
-def header_fix(nodes: DataFrame) -> DataFrame:
-    """page_id, table, caption_added, col_scopes_added, row_headers, repeat_ratio: what the header rules change.
+def _column_head() -> Column:
+    """A first row's cell that is marked as the head of its column already."""
+    return (F.col("row_nth") == 0) & (F.col("tag") == "th") & (F.col("scope") == "col")
 
-    Closed form of the repeated passes: captions first, then targets with the new captions, then scopes.
+
+def _plan(nodes: DataFrame) -> DataFrame:
+    """page_id, table, orient, caption_added, target, promote, body (pre of the first tbody), repeat_ratio: what the header rules decide for each table.
+
+    Closed form of the repeated passes: direction first, captions next, then targets with the new captions.
     """
-    f = layout_reason(features(nodes)).join(previous_heading(nodes), ["page_id", "table"], "left")
+    f = layout_reason(features(nodes))
+    # the first row and first cell of the first thead, the first cells of the rows of the first tbody
+    grid = cells(nodes).join(f.select("page_id", "table", "head", "body"), ["page_id", "table"])
+    in_head, in_body = F.col("part") == F.col("head"), F.col("part") == F.col("body")
+    named = F.coalesce(fx.row_header_text(F.col("text")) & in_body & (F.col("col_ix") == 0) & ~_column_head(), F.lit(False))
+    told = grid.groupBy("page_id", "table").agg(
+        F.min(F.when(in_head, F.struct("row_ix", "col_ix", "text")))["text"].alias("first_head"), F.sum(F.when(in_head & (F.col("row_nth") == 0), F.col("colspan"))).alias("span"),
+        F.sum(named.cast("long")).alias("named"), F.count_distinct(F.when(named, fx.collapse(F.col("text")))).alias("kinds"),
+    )
+    f = f.join(previous_heading(nodes), ["page_id", "table"], "left").join(orientation(nodes, f).select("page_id", "table", "orient"), ["page_id", "table"], "left").join(told, ["page_id", "table"], "left")
     f = f.withColumn("caption_added", F.when((F.col("captions") == 0) & ~F.col("layout") & F.col("heading").isNotNull(), F.concat("heading", F.lit("一覧"))))
-    grid = cells(nodes)
-    head = grid.where("row_ix = 0").groupBy("page_id", "table").agg(F.sum("colspan").alias("span"), F.min_by("text", "col_ix").alias("first_head"))
-    heads = grid.where("section = 'thead' and tag = 'th'").groupBy("page_id", "table").agg(F.sum((F.coalesce("scope", F.lit("")) != "col").cast("long")).alias("unscoped"))
-    firsts = grid.where("section = 'tbody' and col_ix = 0 and not (row_ix = 0 and tag = 'th' and coalesce(scope, '') = 'col')")
-    firsts = firsts.withColumn("named", fx.row_header_text(F.col("text")))
-    texts = firsts.groupBy("page_id", "table").agg(F.sum(F.col("named").cast("long")).alias("named"), F.count_distinct(F.when(F.col("named"), fx.collapse(F.col("text")))).alias("kinds"), F.sum((F.col("named") & (F.col("tag") == "td")).cast("long")).alias("promotable"))
-    all_ = f.join(head, ["page_id", "table"], "left").join(heads, ["page_id", "table"], "left").join(texts, ["page_id", "table"], "left")
     target = ((F.col("captions") > 0) | F.col("caption_added").isNotNull()) & (F.col("theads") > 0) & ~F.col("layout") & (F.coalesce("span", F.lit(0)) >= 2)
     ratio = F.when(F.coalesce("named", F.lit(0)) > 0, 1 - F.col("kinds") / F.col("named")).otherwise(0.0)
-    promote = target & (F.coalesce("first_head", F.lit("")).rlike(fx.ROW_HEADER_HINT) | (ratio >= 0.25))
-    return all_.select("page_id", "table", "caption_added", F.when(target, F.coalesce("unscoped", F.lit(0))).otherwise(0).cast("long").alias("col_scopes_added"), F.when(promote, F.coalesce("promotable", F.lit(0))).otherwise(0).cast("long").alias("row_headers"), F.bround(ratio, 3).alias("repeat_ratio"))
+    promote = target & (F.coalesce(fx.collapse(F.col("first_head")), F.lit("")).rlike(fx.ROW_HEADER_HINT) | (ratio >= 0.25))
+    return f.select("page_id", "table", F.coalesce("orient", F.lit("none")).alias("orient"), "caption_added", target.alias("target"), promote.alias("promote"), "body", F.bround(ratio, 3).alias("repeat_ratio"))
+
+
+def _edits(nodes: DataFrame, plan: DataFrame) -> DataFrame:
+    """nodes with the plan of their nearest table and ``edit``: the scope that a cell gets (col or row), null where it keeps its own."""
+    table = F.when(F.col("tag") == "table", F.col("pre")).otherwise(nearest())
+    out = nodes.withColumns({"_table": table, "scope": scope()}).join(plan.withColumnRenamed("table", "_table"), ["page_id", "_table"], "left")
+    cell, own = F.col("col_ix").isNotNull(), F.col("scope")
+    turned = F.when((F.col("orient") == "col") & (F.col("grid_row") == 0), "col").when((F.col("orient") == "row") & (F.col("grid_row") >= 0) & (F.col("col_ix") == 0), "row")
+    head = F.col("target") & (F.col("tag") == "th") & (F.array_contains("up", "thead")) & (own != "col")
+    first = F.col("promote") & (F.col("part") == F.col("body")) & (F.col("col_ix") == 0) & ~_column_head() & fx.row_header_text(F.col("text")) & ~((F.col("tag") == "th") & (own == "row"))
+    kind = F.when(cell & turned.isNotNull(), F.concat(F.lit("orient_"), turned)).when(head, "head_col").when(cell & first, "body_row")
+    return out.withColumn("edit", kind)
+
+
+def fix_headers(nodes: DataFrame) -> DataFrame:
+    """nodes with headers repaired: promoted cells are ``th`` with their attributes and a scope; ``inserted`` holds the caption that a table gets as its first child."""
+    out = _edits(nodes, _plan(nodes))
+    to = F.when(F.col("edit").endswith("col"), "col").when(F.col("edit").endswith("row"), "row")
+    attrs = F.when(to.isNotNull(), F.map_concat(F.map_filter("attrs", lambda k, _: k != "scope"), F.create_map(F.lit("scope"), F.coalesce(to, F.lit(""))))).otherwise(F.col("attrs"))
+    out = out.withColumns({"attrs": attrs, "tag": F.when(to.isNotNull(), "th").otherwise(F.col("tag")), "inserted": F.when(F.col("tag") == "table", F.col("caption_added"))})
+    return out.select(*nodes.columns, "inserted")
+
+
+def header_fix(nodes: DataFrame) -> DataFrame:
+    """page_id, table, caption_added, col_scopes_added, row_headers, oriented, repeat_ratio: what the header rules change."""
+    plan = _plan(nodes)
+    edits = _edits(nodes, plan).where("edit is not null").groupBy("page_id", F.col("_table").alias("table"))
+    n = lambda *kinds: F.sum(F.col("edit").isin(*kinds).cast("long"))
+    counted = edits.agg(n("head_col").alias("col_scopes_added"), n("body_row").alias("row_headers"), n("orient_col", "orient_row").alias("oriented"))
+    return plan.join(counted, ["page_id", "table"], "left").select("page_id", "table", "caption_added", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("col_scopes_added", "row_headers", "oriented")], "repeat_ratio")
+
+
+def table_identity(nodes: DataFrame) -> DataFrame:
+    """page_id, table, identity: id=..., else the first data attribute with a value, else dom_index=... (place among the page's tables, from 1)."""
+    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("pre"))
+    data = F.get(F.filter(F.map_entries("attrs"), lambda e: e["key"].startswith("data-") & (e["value"] != "")), 0)
+    by_id = F.when(F.coalesce(F.col("attrs")["id"], F.lit("")) != "", F.concat(F.lit("id="), F.col("attrs")["id"]))
+    return elements(nodes, "table").select("page_id", F.col("pre").alias("table"), F.coalesce(by_id, F.concat(data["key"], F.lit("="), data["value"]), F.concat(F.lit("dom_index="), nth.cast("string"))).alias("identity"))
