@@ -13,11 +13,12 @@ from nodeloom.functions import text as fx
 from nodeloom.operators.shred import elements
 from nodeloom.operators.tables import features, previous_heading
 
+#: Characters of a context; addresses, links and sources are kept whole.
 PREVIEW = 240
 
 
 def _finding(df: DataFrame, rule: str, summary: Column, detail: Column) -> DataFrame:
-    return df.select("page_id", F.lit(rule).alias("rule_id"), "pre", summary.alias("summary"), F.substring(detail, 1, PREVIEW).alias("detail"))
+    return df.select("page_id", F.lit(rule).alias("rule_id"), "pre", summary.alias("summary"), detail.alias("detail"))
 
 
 def links(nodes: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def merged_cells(nodes: DataFrame) -> DataFrame:
 
 def vague_links(nodes: DataFrame) -> DataFrame:
     found = links(nodes).where((F.col("href") != "") & F.lower(F.trim("label")).isin(*fx.VAGUE_LINKS))
-    parents = nodes.select("page_id", F.col("pre").alias("parent"), F.col("text").alias("context"))
+    parents = nodes.where("kind = 'element'").select("page_id", F.col("pre").alias("parent"), F.substring("brief", 1, PREVIEW).alias("context"))
     return _finding(found.join(parents, ["page_id", "parent"], "left"), "LINK-R-02", F.col("label"), F.coalesce("context", F.lit("")))
 
 
@@ -77,15 +78,6 @@ def zoom_links(nodes: DataFrame) -> DataFrame:
     return _finding(found, "IMG-R-09", F.lit("zoom link"), F.col("href"))
 
 
-def heading_order(nodes: DataFrame) -> DataFrame:
-    """Headings that skip a level."""
-    from pyspark.sql import Window
-
-    marks = elements(nodes, *[f"h{i}" for i in range(1, 7)]).withColumn("level", F.substring("tag", 2, 1).cast("int"))
-    before = F.lag("level").over(Window.partitionBy("page_id").orderBy("pre"))
-    return _finding(marks.withColumn("before", before).where("level > before + 1"), "HEAD-R-01", F.col("tag"), F.coalesce("text", F.lit("")))
-
-
 DETECTORS = {
     "HTML-R-15": (caption_missing,), "HTML-R-16": (merged_cells,), "LINK-R-02": (vague_links,), "LINK-R-04": (mail_labels, raw_addresses), "LINK-R-09": (in_page_links,),
     "LINK-R-08": (cross_page_links,), "IMG-R-05": (linked_images,), "IMG-R-09": (zoom_links,),
