@@ -5,35 +5,62 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nodeloom.operators.shred import elements, visible
+from nodeloom.functions import text as fx
+from nodeloom.operators.shred import elements, materialise, shred, visible
 
-#: metric -> substring that is counted in the raw text (fixed values).
+#: metric -> substring that is counted in the lower-cased raw text, and texts that are looked for as they are (fixed values).
 SUBSTRINGS = {"h3_count": "<h3", "h4_count": "<h4", "table_count": "<table", "thead_count": "<thead", "caption_count": "<caption", "scope_col_count": 'scope="col"', "scope_row_count": 'scope="row"', "th_count": "<th", "rgb_fullwidth": "rgb（", "caption_id_count": 'id="caption'}
+PHRASES = {"intro_text": "休日（日曜日または祝日）在宅当番医について", "doctor_info_text": "日曜・祝日在宅当番医情報", "consultation_hours_text": "診療時間", "update_line": "更新："}
+#: Kinds of metrics, each with its verdict; the others are texts (fixed values).
 KINDS = {
     "count": ("h3_count", "h4_count", "table_count"), "structure": ("thead_count", "caption_count", "scope_col_count", "scope_row_count", "th_count"),
     "absence": ("menu_present", "pagetop_present", "footer_present"), "increase": ("rgb_fullwidth", "caption_id_count", "caption_id_duplicates"),
 }
+#: Signs of menus and page-top links in ids, classes, targets and labels, and the texts that are nothing else (fixed values).
+MENU, PAGETOP = r"(?:^|[-_#/:])menu(?:$|[-_#/:])", r"page[-_]?top|#top|to[-_]?top"
+MENU_TEXTS, PAGETOP_TEXTS = ("menu", "メニュー"), ("pagetop", "page top", "ページトップ", "ページの先頭へ", "先頭へ戻る")
 
 
-def raw_metrics(pages: DataFrame, keys: list[str], phrases: dict[str, str] | None = None) -> DataFrame:
-    """keys, metric, value: substring counts, and 0 or 1 for phrases of the visible text's raw form."""
-    counts = [F.struct(F.lit(m).alias("metric"), ((F.length("html") - F.length(F.replace("html", F.lit(s), F.lit("")))) / len(s)).cast("long").alias("value")) for m, s in SUBSTRINGS.items()]
-    counts += [F.struct(F.lit(m).alias("metric"), F.contains("html", F.lit(p)).cast("long").alias("value")) for m, p in (phrases or {}).items()]
-    return pages.select(*keys, F.explode(F.array(*counts)).alias("m")).select(*keys, "m.metric", "m.value")
+def _caption_ids(html: Column) -> Column:
+    return F.regexp_extract_all(html, F.lit("(?i)id=[\"'](caption[^\"']*)[\"']"), F.lit(1))
+
+
+def raw_metrics(pages: DataFrame, keys: list[str], phrases: dict[str, str] = PHRASES) -> DataFrame:
+    """keys, metric, value: substring counts whatever their case, 0 or 1 for phrases and a footer, ids of captions that are used again."""
+    low = F.lower("html")
+    value = lambda m, v: F.struct(F.lit(m).alias("metric"), v.cast("long").alias("value"))
+    counts = [value(m, (F.length(low) - F.length(F.replace(low, F.lit(s), F.lit("")))) / len(s)) for m, s in SUBSTRINGS.items()]
+    counts += [value(m, F.contains("html", F.lit(p))) for m, p in phrases.items()]
+    counts += [value("footer_present", F.contains(low, F.lit("<footer"))), value("caption_id_duplicates", F.size(_caption_ids(F.col("html"))) - F.size(F.array_distinct(_caption_ids(F.col("html")))))]
+    return pages.withColumn("html", F.coalesce("html", F.lit(""))).select(*keys, F.explode(F.array(*counts)).alias("m")).select(*keys, "m.metric", "m.value")
 
 
 def common_parts(nodes: DataFrame) -> DataFrame:
-    """page_id, menu_present, pagetop_present, footer_present from ids, classes, targets, labels and visible text."""
-    names = F.lower(F.concat_ws(" ", F.col("attrs")["id"], F.col("attrs")["class"], F.col("attrs")["href"], F.col("attrs")["aria-label"]))
-    said = F.when((F.col("kind") == "text") & ~F.arrays_overlap("up", F.array(*map(F.lit, ("head", "script", "style", "title")))), F.lower(F.trim("text")))
+    """page_id, menu_present, pagetop_present, footer_present from ids, classes, targets, labels and the texts outside head, script, style and title."""
+    attrs = F.transform(F.array(*[F.col("attrs")[a] for a in ("id", "class", "href", "aria-label")]), lambda v: F.lower(F.trim(F.coalesce(v, F.lit("")))))
+    named = lambda pattern: F.coalesce((F.col("kind") == "element") & F.exists(attrs, lambda v: v.rlike(pattern)), F.lit(False))
+    said = F.when((F.col("kind") == "text") & ~F.arrays_overlap("up", F.array(*map(F.lit, ("head", "script", "style", "title")))), F.lower(fx.collapse(F.col("text"))))
     any_ = lambda c: F.coalesce(F.max(c.cast("long")), F.lit(0))
-    return nodes.groupBy("page_id").agg(any_(F.contains(names, F.lit("menu")) | said.isin("menu", "メニュー")).alias("menu_present"), any_(F.contains(names, F.lit("pagetop")) | said.isin("pagetop", "ページトップ")).alias("pagetop_present"), any_((F.col("tag") == "footer") | F.contains(names, F.lit("footer"))).alias("footer_present"))
+    texts = lambda values: F.coalesce(said.isin(*values), F.lit(False))
+    return nodes.groupBy("page_id").agg(any_(named(MENU) | texts(MENU_TEXTS)).alias("menu_present"), any_(named(PAGETOP) | texts(PAGETOP_TEXTS)).alias("pagetop_present"), any_(F.coalesce(F.col("tag") == "footer", F.lit(False))).alias("footer_present"))
+
 
+def version_metrics(versions: DataFrame, splits: tuple[str, ...] = ("previous", "current", "gold")) -> DataFrame:
+    """split, page_id, metric, value: all 18 metrics of versions (split, page_id, html). Each version of a page is parsed as a page of its own."""
+    n = len(splits)
+    number = F.array_position(F.array(*map(F.lit, splits)), F.col("split")) - 1
+    parts = common_parts(materialise(shred(versions.select((F.col("page_id") * n + number).alias("page_id"), "html"))))
+    name = F.element_at(F.array(*map(F.lit, splits)), (F.pmod(F.col("page_id"), F.lit(n)) + 1).cast("int"))
+    present = parts.select(name.alias("split"), F.floor(F.col("page_id") / n).cast("long").alias("page_id"), F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("menu_present", "pagetop_present")])).alias("m")).select("split", "page_id", "m.metric", "m.value")
+    # a version without a node has none of the parts
+    none = versions.select("split", "page_id", F.explode(F.array(F.lit("menu_present"), F.lit("pagetop_present"))).alias("metric"), F.lit(0).cast("long").alias("value"))
+    present = present.unionByName(none).groupBy("split", "page_id", "metric").agg(F.max("value").alias("value"))
+    return raw_metrics(versions, ["split", "page_id"]).unionByName(present)
 
-def duplicate_caption_ids(nodes: DataFrame) -> DataFrame:
-    """page_id, duplicates: how many ids that start with "caption" are used again."""
-    ids = nodes.where("kind = 'element' and attrs['id'] like 'caption%'").groupBy("page_id", F.col("attrs")["id"].alias("id")).agg(F.count("*").alias("n"))
-    return ids.groupBy("page_id").agg(F.sum(F.col("n") - 1).alias("duplicates"))
+
+def duplicate_caption_ids(pages: DataFrame) -> DataFrame:
+    """page_id, id, n of every id that begins with "caption" and is used again, from the raw text."""
+    return pages.select("page_id", F.explode(_caption_ids(F.coalesce("html", F.lit("")))).alias("id")).groupBy("page_id", "id").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def verdict(metric: Column, p: Column, c: Column, g: Column) -> Column:
@@ -61,6 +88,11 @@ def run_status(compared: DataFrame, key: str) -> DataFrame:
     return compared.groupBy(key).agg(n("regressed").alias("regressed"), n("warning").alias("warnings"), F.bool_or(F.col("previous").isNull()).alias("new")).withColumn("status", F.when(F.col("new"), "WARNING").when(F.col("regressed") > 0, "FAIL").otherwise("PASS")).drop("new")
 
 
+def verdict_summary(compared: DataFrame) -> DataFrame:
+    """verdict, n over all pages and metrics."""
+    return compared.groupBy("verdict").agg(F.count("*").alias("n"))
+
+
 # -- page regression checks
 
 
@@ -101,3 +133,28 @@ def checks(nodes: DataFrame, targets: DataFrame) -> DataFrame:
     wide = f.join(heads, "page_id", "left").join(common_parts(nodes), "page_id", "left").join(row_scopes(nodes, targets), "page_id", "left")
     named = {"h3": F.coalesce("h3", F.lit(0)) > 0, "h4": F.coalesce("h4", F.lit(0)) > 0, "caption": F.col("captions") > 0, "thead": F.col("theads") > 0, "scopes": F.col("scoped") > 0, "row_scopes": F.coalesce("ok", F.lit(True)), "no_menu": F.coalesce("menu_present", F.lit(0)) == 0, "no_footer": F.coalesce("footer_present", F.lit(0)) == 0}
     return wide.select("page_id", F.explode(F.array(*[F.struct(F.lit(k).alias("check"), F.when(v, "PASS").otherwise("FAIL").alias("level")) for k, v in named.items()])).alias("c")).select("page_id", "c.check", "c.level")
+
+
+#: Files that the page checks are meant for (fixed values).
+TARGETS = {"ai": ("sg02395_0820.html",), "gold": ("sg02395.html",)}
+
+
+def check_targets(files: DataFrame, targets: dict[str, tuple[str, ...]] = TARGETS, always: str = "14256.html") -> DataFrame:
+    """files (path) with ``target``: whether the file's name is listed for one of the folders above it, or is the one that always counts."""
+    parts = F.split("path", "/")
+    name = F.element_at(parts, -1)
+    listed = [F.array_contains(F.slice(parts, 1, F.size(parts) - 1), folder) & name.isin(*names) for folder, names in targets.items()]
+    target = name == always
+    for one in listed:
+        target = target | one
+    return files.withColumn("target", target)
+
+
+def check_summary(files: DataFrame, results: DataFrame) -> DataFrame:
+    """One row: files, checked, passed, failed, warnings, skipped, exit_code of files (path, target) and results (path, level). Nothing checked, or a failure, exits with 1."""
+    per = results.groupBy("path").agg(F.max((F.col("level") == "FAIL").cast("int")).alias("bad"), F.sum((F.col("level") == "WARNING").cast("long")).alias("warned"))
+    joined = files.join(per, "path", "left")
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    bad = F.coalesce(F.col("bad"), F.lit(0)) == 1
+    out = joined.agg(F.count("*").alias("files"), n(F.col("target")).alias("checked"), n(F.col("target") & ~bad).alias("passed"), n(F.col("target") & bad).alias("failed"), F.coalesce(F.sum(F.when(F.col("target"), F.col("warned"))), F.lit(0)).alias("warnings"), n(~F.col("target")).alias("skipped"))
+    return out.withColumn("exit_code", ((F.col("failed") > 0) | (F.col("checked") == 0)).cast("int"))

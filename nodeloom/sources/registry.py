@@ -6,8 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 REGISTRY = "municipality string, url string, filename string, xpath string, status string, started_at string, ended_at string, total_tokens string, cost string, version string, vision_flag string, vision_tokens string, vision_calls string"
+#: Names that files and sheets use (fixed values): keys of a rule, the status of a finished row, headers of the source sheets and of the registry, slugs.
 RULE_KEYS = ("id", "検出ID", "検出方式", "検出", "候補ペイロード", "LLMタスク", "修正プロンプト", "出力契約")
-DONE = "完了"
+DONE, OPEN = "完了", "未完了"
+SOURCE_HEADERS = ("No.", "URL", "ページ名", "ランク")
+REGISTRY_HEADERS = ("自治体名", "URL", "保存ファイル名", "XPath", "ステータス", "開始日時", "完了日時", "消費トークン", "想定コスト(円)", "処理バージョン", "画像解析（Vision）", "VisionTokens", "VisionCalls")
+SLUGS = {"安城市": "anjo", "浦添市": "urasoe", "弘前市": "hirosaki", "福山市": "fukuyama", "豊橋市": "toyohashi"}
+#: Slug tables up to this many rows are broadcast.
+BROADCAST_SLUGS = 100_000
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
@@ -103,9 +109,53 @@ def to_records(rows: DataFrame, headers: list[str]) -> DataFrame:
     return below.select("path", "row_ix", *[F.coalesce(F.get("values", F.array_position("h.names", h).cast("int") - 1), F.lit("")).alias(h) for h in headers])
 
 
+def read_source(spark: SparkSession, path: str) -> DataFrame:
+    """path, and the source headers as columns, of one .xlsx or .csv file; other kinds and files without the headers are errors."""
+    kind = path.rsplit(".", 1)[-1].lower()
+    if kind == "xlsx":
+        return to_records(read_workbook(spark, path), list(SOURCE_HEADERS)).drop("row_ix")
+    if kind != "csv":
+        raise ValueError(f"unsupported input file: {path}")
+    rows = spark.read.csv(path, header=True, multiLine=True)
+    rows = rows.toDF(*[c.lstrip("\ufeff") for c in rows.columns])
+    missing = [h for h in SOURCE_HEADERS if h not in rows.columns]
+    if missing:
+        raise ValueError(f"{path}: required header missing: {', '.join(missing)}")
+    return rows.select(F.col("_metadata.file_path").alias("path"), *[F.coalesce(F.trim(F.col(f"`{h}`")), F.lit("")).alias(h) for h in SOURCE_HEADERS])
+
+
+def collect_sources(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """municipality (the file's stem), no, url of all source files; rows without a URL go."""
+    out = None
+    for path in sorted(paths):
+        rows = read_source(spark, path).select(F.lit(path.rsplit("/", 1)[-1].rsplit(".", 1)[0]).alias("municipality"), F.floor(F.col("`No.`").cast("double")).cast("long").alias("no"), F.trim("URL").alias("url"))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError("no .xlsx or .csv files")
+    return out
+
+
+def source_warnings(rows: DataFrame, each: int = 50, whole: int = 250) -> DataFrame:
+    """kind, subject, n: rows without a URL, URLs that occur again, municipalities and a total of other than the planned size. All rows stay."""
+    url = F.coalesce(F.trim("url"), F.lit(""))
+    full = rows.where(url != "")
+    empty = rows.where(url == "").groupBy(F.col("municipality").cast("string").alias("subject")).agg(F.count("*").alias("n")).select(F.lit("empty_url").alias("kind"), "subject", "n")
+    again = full.groupBy(F.trim("url").alias("subject")).agg(F.count("*").alias("n")).where("n > 1").select(F.lit("duplicate_url").alias("kind"), "subject", "n")
+    sized = full.groupBy(F.col("municipality").cast("string").alias("subject")).agg(F.count("*").alias("n")).where(F.col("n") != each).select(F.lit("rows").alias("kind"), "subject", "n")
+    total = full.agg(F.count("*").alias("n")).where(F.col("n") != whole).select(F.lit("total").alias("kind"), F.lit("").alias("subject"), "n")
+    return empty.unionByName(again).unionByName(sized).unionByName(total)
+
+
+def read_xpath_map(spark: SparkSession, path: str) -> DataFrame:
+    """municipality, xpath of a JSON object of strings; anything else is an error."""
+    entries = F.map_entries(F.from_json("value", "map<string,string>", {"mode": "FAILFAST"}))
+    return spark.read.text(path, wholetext=True).select(F.explode(entries).alias("e")).select(F.col("e.key").alias("municipality"), F.col("e.value").alias("xpath"))
+
+
 def build_registry(rows: DataFrame, slugs: DataFrame, fail: bool = False) -> DataFrame:
     """rows (municipality, no, url) with filename, duplicate flags and problem: unknown slug or a repeated file name; ``fail`` raises on a problem."""
-    named = rows.where(F.coalesce(F.trim("url"), F.lit("")) != "").join(F.broadcast(slugs), "municipality", "left")
+    slugs = F.broadcast(slugs) if slugs.count() <= BROADCAST_SLUGS else slugs
+    named = rows.where(F.coalesce(F.trim("url"), F.lit("")) != "").join(slugs, "municipality", "left")
     named = named.withColumn("filename", F.format_string("%s_%03d.html", "slug", F.col("no").cast("int")))
     named = named.withColumn("url_count", F.count("*").over(Window.partitionBy("url"))).withColumn("file_count", F.count("*").over(Window.partitionBy("filename")))
     problem = F.when(F.col("slug").isNull(), "unknown_slug").when(F.col("file_count") > 1, "duplicate_file")
@@ -113,6 +163,9 @@ def build_registry(rows: DataFrame, slugs: DataFrame, fail: bool = False) -> Dat
     return out.where(F.when(F.col("problem").isNotNull(), F.raise_error("problem")).otherwise(True)) if fail else out
 
 
-def write_pages(cleaned: DataFrame, folder: str) -> None:
-    """Cleaned pages (municipality, filename, html) as a partitioned table."""
-    cleaned.write.mode("errorifexists").partitionBy("municipality").parquet(folder)
+def registry_rows(built: DataFrame, xpaths: DataFrame, default_xpath: str = "", vision: str = "OFF") -> DataFrame:
+    """The 13 columns of the registry for built rows; xpaths (municipality, xpath) or the default."""
+    blank = F.lit("")
+    joined = built.join(xpaths, "municipality", "left")
+    values = (F.col("municipality").cast("string"), F.col("url"), F.col("filename"), F.coalesce("xpath", F.lit(default_xpath)), F.lit(OPEN), blank, blank, blank, blank, blank, F.lit(vision), blank, blank)
+    return joined.select(*[v.alias(h) for v, h in zip(values, REGISTRY_HEADERS)])
