@@ -2,55 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nodeloom.functions import text as fx
-from nodeloom.operators import audit, blocks, clean, compare, detect, extract, replies, tables
-from nodeloom.operators.shred import elements, materialise, page_text, shred, visible
+from nodeloom.operators import audit, blocks, clean, compare, detect, extract, replies, sidebar, tables
+from nodeloom.operators.shred import elements, materialise, page_text, shred
 from nodeloom.plans import render
+from nodeloom.plans.catalog import BARE, HREFS, ORACLE_SQL, QUERIES, ROWS, link_nodes, order_nodes, page_nodes, query, table
 from nodeloom.sources import registry
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def page_nodes(spark, sf_dir):
-    return shred(table(spark, sf_dir, "pages"))
-
-
-def order_nodes(spark, sf_dir):
-    return materialise(shred(render.order_tables(spark, sf_dir)))
-
-
-def link_nodes(spark, sf_dir):
-    return materialise(shred(render.part_links(spark, sf_dir)))
-
-
-#: Pages without what scripts, styles and comments hold.
-_BARE = "select page_id, url, html, regexp_replace(regexp_replace(html, '<(script|style)>.*?</(script|style)>', '', 'gs'), '<!--.*?-->', '', 'gs') as bare from pages"
-_HREFS = f"select page_id, unnest(regexp_extract_all(bare, '<a href=\"([^\"]*)\"', 1)) as href from ({_BARE})"
-
 
 @query("q01_page_profile", f"""
-    with b as ({_BARE})
+    with b as ({BARE})
     select page_id, len(regexp_extract_all(bare, '<a href='))::bigint as n_links, len(list_distinct(regexp_extract_all(bare, '<a href="([^"]*)"', 1)))::bigint as n_hrefs,
            len(regexp_extract_all(regexp_extract(bare, '<article>(.*)$', 1, 's'), '<p>'))::bigint as n_paragraphs from b
 """)
@@ -67,24 +30,24 @@ def tag_histogram(spark, sf_dir):
     return page_nodes(spark, sf_dir).where("kind = 'element'").groupBy("tag").agg(F.count("*").alias("n"))
 
 
-@query("q03_links", f"select page_id, href, count(*)::bigint as n from ({_HREFS}) group by all")
+@query("q03_links", f"select page_id, href, count(*)::bigint as n from ({HREFS}) group by all")
 def link_list(spark, sf_dir):
     return detect.links(page_nodes(spark, sf_dir)).groupBy("page_id", F.col("href")).agg(F.count("*").alias("n"))
 
 
-@query("q04_absolute_links", f"select p.page_id, regexp_extract(p.url, '^([a-z]+://[^/]*)', 1) || h.href as url, count(*)::bigint as n from ({_HREFS}) h join pages p using (page_id) group by all")
+@query("q04_absolute_links", f"select p.page_id, regexp_extract(p.url, '^([a-z]+://[^/]*)', 1) || h.href as url, count(*)::bigint as n from ({HREFS}) h join pages p using (page_id) group by all")
 def absolute_links(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("base"))
     found = detect.links(page_nodes(spark, sf_dir)).join(pages, "page_id")
     return found.groupBy("page_id", fx.absolute(F.col("href"), F.col("base")).alias("url")).agg(F.count("*").alias("n"))
 
 
-@query("q05_headings", f"select page_id, 'h1' as tag, count(*)::bigint as n from (select page_id, unnest(regexp_extract_all(bare, '<h1>')) from ({_BARE})) group by page_id")
+@query("q05_headings", f"select page_id, tag, count(*)::bigint as n from (select page_id, unnest(regexp_extract_all(bare, '<(h[1-6])[ >]', 1)) as tag from ({BARE})) group by all")
 def headings(spark, sf_dir):
     return elements(page_nodes(spark, sf_dir), *[f"h{i}" for i in range(1, 7)]).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
-@query("q07_boilerplate", f"select page_id, len(regexp_extract_all(bare, '<nav>'))::bigint as navs, len(regexp_extract_all(bare, '<footer>'))::bigint as footers, len(regexp_extract_all(bare, '<div class=\"ad\">'))::bigint as ads from ({_BARE})")
+@query("q07_boilerplate", f"select page_id, len(regexp_extract_all(bare, '<nav>'))::bigint as navs, len(regexp_extract_all(bare, '<footer>'))::bigint as footers, len(regexp_extract_all(bare, '<div class=\"ad\">'))::bigint as ads from ({BARE})")
 def boilerplate(spark, sf_dir):
     n = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
     return page_nodes(spark, sf_dir).groupBy("page_id").agg(n(F.col("tag") == "nav").alias("navs"), n(F.col("tag") == "footer").alias("footers"), n((F.col("tag") == "div") & (F.col("attrs")["class"] == "ad")).alias("ads"))
@@ -115,7 +78,7 @@ def unclosed_pages(spark, sf_dir):
     return table(spark, sf_dir, "pages").where(~F.contains("html", F.lit("</body>"))).select("page_id")
 
 
-@query("q13_raw_addresses", f"select page_id, unnest(regexp_extract_all(regexp_replace(bare, '<[^>]*>', ' ', 'g'), '{fx.EMAIL}')) as address from ({_BARE})")
+@query("q13_raw_addresses", f"select page_id, unnest(regexp_extract_all(regexp_replace(bare, '<[^>]*>', ' ', 'g'), '{fx.EMAIL}')) as address from ({BARE})")
 def raw_addresses(spark, sf_dir):
     return detect.raw_addresses(page_nodes(spark, sf_dir)).select("page_id", F.col("detail").alias("address"))
 
@@ -171,18 +134,15 @@ def findings_per_rule(spark, sf_dir):
     return detect.per_rule(detect.findings(link_nodes(spark, sf_dir)))
 
 
-_ROWS = "select o_orderkey, o_orderpriority p, count(l_orderkey) n, count(*) filter (where l_returnflag = 'R') r, count(*) filter (where l_linestatus = 'O') o from orders left join lineitem on l_orderkey = o_orderkey group by all"
-
-
 @query("q23_table_shapes", f"""
     select o_orderkey as page_id, (n + h)::bigint as n_rows, (case when n + h > 0 then 3 else 0 end)::bigint as min_cols, (case when n + h > 0 then 3 else 0 end)::bigint as max_cols,
-           (case when p = '4-NOT SPECIFIED' then r else 0 end)::bigint as blanks from (select *, case when p in ('1-URGENT', '3-MEDIUM') then 1 else 0 end as h from ({_ROWS}))
+           (case when p = '4-NOT SPECIFIED' then r else 0 end)::bigint as blanks from (select *, case when p in ('1-URGENT', '3-MEDIUM') then 1 else 0 end as h from ({ROWS}))
 """)
 def table_shapes(spark, sf_dir):
     return tables.shapes(order_nodes(spark, sf_dir)).select("page_id", *[F.col(c).cast("long").alias(c) for c in ("n_rows", "min_cols", "max_cols", "blanks")])
 
 
-@query("q24_layout_tables", f"select o_orderkey as page_id, case when p in ('1-URGENT', '2-HIGH') then 'caption' when p = '3-MEDIUM' then 'thead' when p = '4-NOT SPECIFIED' and r > 0 then 'img' else 'none' end as reason, p = '4-NOT SPECIFIED' and r > 0 as layout from ({_ROWS})")
+@query("q24_layout_tables", f"select o_orderkey as page_id, case when p in ('1-URGENT', '2-HIGH') then 'caption' when p = '3-MEDIUM' then 'thead' when p = '4-NOT SPECIFIED' and r > 0 then 'img' else 'none' end as reason, p = '4-NOT SPECIFIED' and r > 0 as layout from ({ROWS})")
 def layout_tables(spark, sf_dir):
     return tables.layout_reason(tables.features(order_nodes(spark, sf_dir))).select("page_id", "reason", "layout")
 
@@ -198,8 +158,8 @@ def header_scores(spark, sf_dir):
 
 
 @query("q27_orientation", f"""
-    select o_orderkey as page_id, case when n < 2 and not (h = 1 and n = 1) then 'few_rows' when h = 1 then 'not_td' when p = '4-NOT SPECIFIED' and r > n * 1.5 then 'blank' else 'unclear' end as reason
-    from (select *, case when p in ('1-URGENT', '3-MEDIUM') then 1 else 0 end as h from ({_ROWS})) where n + h > 0
+    select o_orderkey as page_id, case when p in ('1-URGENT', '3-MEDIUM') then 'thead' when n < 2 then 'few_rows' when p = '4-NOT SPECIFIED' and r > 0 then 'layout' else 'unclear' end as reason
+    from ({ROWS}) where n > 0
 """)
 def orientations(spark, sf_dir):
     return tables.orientation(order_nodes(spark, sf_dir)).select("page_id", "reason")
@@ -207,13 +167,22 @@ def orientations(spark, sf_dir):
 
 @query("q28_header_fixes", f"""
     select o_orderkey as page_id,
-           case when p not in ('1-URGENT', '2-HIGH') and not (p = '4-NOT SPECIFIED' and r > 0) and o_orderstatus <> 'P' then case o_orderstatus when 'F' then 'Filled一覧' else 'Open一覧' end end as caption_added,
-           (case when p = '1-URGENT' or (p = '3-MEDIUM' and o_orderstatus <> 'P') then 1 else 0 end)::bigint as col_scopes_added,
-           (case when p = '1-URGENT' or (p = '3-MEDIUM' and o_orderstatus <> 'P') then n else 0 end)::bigint as row_headers
-    from ({_ROWS}) join (select o_orderkey, o_orderstatus from orders) using (o_orderkey)
+           case when p not in ('1-URGENT', '2-HIGH') and not (p = '4-NOT SPECIFIED' and r > 0) and st <> 'P' then case st when 'F' then 'Filled一覧' else 'Open一覧' end end as caption_added,
+           (case when p = '1-URGENT' or (p = '3-MEDIUM' and st <> 'P') then 1 else 0 end)::bigint as col_scopes_added,
+           (case when p = '1-URGENT' or (p = '3-MEDIUM' and st <> 'P') then n else 0 end)::bigint as row_headers, 0::bigint as oriented
+    from ({ROWS})
 """)
 def header_fixes(spark, sf_dir):
-    return tables.header_fix(order_nodes(spark, sf_dir)).select("page_id", "caption_added", "col_scopes_added", "row_headers")
+    return tables.header_fix(order_nodes(spark, sf_dir)).select("page_id", "caption_added", "col_scopes_added", "row_headers", "oriented")
+
+
+@query("q29_captions", f"""
+    select o_orderkey as page_id, case st when 'F' then 'Filled一覧' else 'Open一覧' end as caption from ({ROWS})
+    where p not in ('1-URGENT', '2-HIGH') and not (p = '4-NOT SPECIFIED' and r > 0) and st <> 'P'
+""")
+def captions(spark, sf_dir):
+    """Captions that tables get from the heading before them."""
+    return tables.fix_headers(order_nodes(spark, sf_dir)).where("inserted is not null").select("page_id", F.col("inserted").alias("caption"))
 
 
 @query("q30_repeat_ratio", f"""
@@ -225,19 +194,27 @@ def repeat_ratio(spark, sf_dir):
     return tables.header_fix(order_nodes(spark, sf_dir)).join(lines, "page_id", "left_semi").select("page_id", "repeat_ratio")
 
 
-@query("q32_table_issues", f"""
-    select rule_id, severity, count(*)::bigint as n from (
-        select 'OUT-TABLE-003' rule_id, 'High' severity from orders where o_orderpriority not in ('1-URGENT', '2-HIGH')
-        union all select 'OUT-TABLE-006', 'High' from orders where o_orderpriority = '2-HIGH'
-        union all select 'OUT-TABLE-004', 'Medium' from orders) group by all
+@query("q31_colspans", f"select o_orderkey as page_id, (case when p in ('1-URGENT', '3-MEDIUM') then 3 when n = 0 then 0 when p = '5-LOW' and first_status = 'O' then 4 else 3 end)::bigint as total_colspan from ({ROWS})")
+def colspans(spark, sf_dir):
+    return tables.shapes(order_nodes(spark, sf_dir)).select("page_id", F.col("total_colspan").cast("long").alias("total_colspan"))
+
+
+@query("q32_table_issues", """
+    with k as (select p_partkey % 8 as k, count(*) as n from part group by 1),
+    i(k, rule_id, severity, each, lines) as (values (0, 'OUT-TABLE-001', 'Critical', 2, 5), (0, 'OUT-TABLE-005', 'Critical', 2, 6), (1, 'OUT-TABLE-002', 'Critical', 2, 2), (2, 'OUT-TABLE-005', 'Critical', 2, 5), (3, 'OUT-TABLE-007', 'High', 1, 2),
+        (4, 'OUT-TABLE-003', 'High', 1, 1), (4, 'OUT-TABLE-004', 'Medium', 2, 2), (5, 'OUT-TABLE-006', 'High', 1, 1), (5, 'OUT-TABLE-004', 'Medium', 1, 2), (7, 'OUT-TABLE-003', 'High', 1, 1), (7, 'OUT-TABLE-004', 'Medium', 1, 1))
+    select rule_id, severity, sum(n * each)::bigint as n, sum(n * lines)::bigint as lines from k join i using (k) group by all
 """)
 def table_issues(spark, sf_dir):
-    return audit.table_issues(order_nodes(spark, sf_dir)).groupBy("rule_id", "severity").agg(F.count("*").alias("n"))
+    """Every table rule, over pages that break one each: other cases, spaces, empty rows, nested tables."""
+    pages = render.audit_pages(spark, sf_dir)
+    found = audit.table_issues(materialise(shred(pages))).unionByName(audit.escaped_fragments(pages))
+    return found.groupBy("rule_id", "severity").agg(F.count("*").alias("n"), F.sum("line").cast("long").alias("lines"))
 
 
-@query("q33_table_metrics", "select o_orderkey as page_id, 1::bigint as tables, (o_orderpriority in ('1-URGENT', '2-HIGH'))::bigint as with_caption, (o_orderpriority in ('1-URGENT', '3-MEDIUM'))::bigint as with_thead, (o_orderpriority in ('1-URGENT', '3-MEDIUM'))::bigint as unscoped_th from orders")
+@query("q33_table_metrics", "select o_orderkey as page_id, 1::bigint as tables, (o_orderpriority in ('1-URGENT', '2-HIGH'))::bigint as with_caption, (o_orderpriority in ('1-URGENT', '3-MEDIUM'))::bigint as with_thead, (o_orderpriority in ('1-URGENT', '3-MEDIUM'))::bigint as with_th, (o_orderpriority in ('1-URGENT', '3-MEDIUM'))::bigint as unscoped_th, 0::bigint as ragged from orders")
 def table_metrics(spark, sf_dir):
-    return audit.table_metrics(order_nodes(spark, sf_dir)).select("page_id", "tables", "with_caption", "with_thead", "unscoped_th")
+    return audit.table_metrics(order_nodes(spark, sf_dir))
 
 
 @query("q34_phrases", "select doc_id, phrase, n from (select doc_id, phrase, ((length(text) - length(replace(text, phrase, ''))) / length(phrase))::bigint as n from documents, (values ('License'), ('token = '), ('###')) t(phrase)) where n > 0")
@@ -245,19 +222,74 @@ def phrases(spark, sf_dir):
     return audit.phrase_counts(table(spark, sf_dir, "documents"), "doc_id", "text", {"P": ("License", "token = ", "###")}).select("doc_id", "phrase", "n")
 
 
+@query("q35_icon_alts", """
+    select p_partkey as page_id, alt as message from (
+        select p_partkey, p_partkey % 5 as k, case p_partkey % 5 when 4 then '' when 3 then p_name || ' ' || p_name || ' ' || p_name else left(p_name, 6) end as alt from part)
+    where alt <> '' and (k in (0, 1) or length(alt) >= 20)
+""")
+def icon_alts(spark, sf_dir):
+    """Alternative texts that say too much: icons by their source in any case, others by length."""
+    k = F.col("p_partkey") % 5
+    src = F.when(k == 0, "/ICON/a.png").when(k == 1, "/pdf.gif").when(k == 2, "/bullet.gif").when(k == 3, "/photo.jpg").otherwise("/arrow.png")
+    alt = F.when(k == 4, "").when(k == 3, F.concat_ws(" ", "p_name", "p_name", "p_name")).otherwise(F.substring("p_name", 1, 6))
+    pages = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), F.concat(F.lit('<p><img src="'), src, F.lit('" alt="'), alt, F.lit('"></p>')).alias("html"))
+    return audit.alt_issues(shred(pages)).select("page_id", "message")
+
+
 @query("q36_verdicts", "select o_orderkey::varchar as page, (o_orderpriority <> '1-URGENT')::bigint as high, 1::bigint as medium, case when o_orderpriority <> '1-URGENT' then 'FAIL' else 'PASS' end as verdict from orders union all select 'total', count(*) filter (where o_orderpriority <> '1-URGENT'), count(*), 'FAIL' from orders")
 def verdicts(spark, sf_dir):
     return audit.verdict(audit.table_issues(order_nodes(spark, sf_dir))).select(F.coalesce(F.col("page_id").cast("string"), F.lit("total")).alias("page"), F.col("High").alias("high"), F.col("Medium").alias("medium"), "verdict")
 
 
-@query("q38_version_verdicts", """
-    with m as (
-        select l_orderkey, count(*) filter (where l_returnflag = 'A') p, count(*) filter (where l_returnflag = 'N') c, count(*) filter (where l_returnflag = 'R') g from lineitem group by 1)
-    select l_orderkey as page_id, case when abs(c - g) < abs(p - g) then 'improved' when abs(c - g) > abs(p - g) then 'regressed' else 'stable' end as verdict from m
+@query("q37_audit_noise", """
+    select s_suppkey as page_id, 'icon_alt:mark' as noise, (s_suppkey % 4)::bigint as n from supplier where s_suppkey % 4 >= 2
+    union all select s_suppkey, 'back_links', (s_suppkey % 8)::bigint from supplier where s_suppkey % 8 >= 5
 """)
+def audit_noise(spark, sf_dir):
+    """What an audit counts on a page and finds again: icons with one alternative text, back links from five on."""
+    key = F.col("s_suppkey")
+    html = F.concat(F.repeat(F.lit('<img src="/ico.png" alt="mark">'), (key % 4).cast("int")), F.repeat(F.lit("<p>先頭に戻る</p>"), (key % 8).cast("int")))
+    pages = table(spark, sf_dir, "supplier").select(key.alias("page_id"), html.alias("html"))
+    return audit.repeated_noise(pages, materialise(shred(pages)))
+
+
+_VERDICTS = """
+    with c as (select l_orderkey as id, count(*) filter (where l_returnflag = 'A') an, count(*) filter (where l_returnflag = 'A' and l_linestatus = 'O') ao, count(*) filter (where l_returnflag = 'N') nn, count(*) filter (where l_returnflag = 'N' and l_linestatus = 'O') no,
+                      count(*) filter (where l_returnflag = 'R') rn, count(*) filter (where l_returnflag = 'R' and l_linestatus = 'O') ro from lineitem group by 1),
+    v as (select id, 'p' as s, an as n, ao as t from c union all select id, 'c', nn, no from c union all select id, 'g', rn, ro from c),
+    m as (select id, s, unnest([
+            {'m': 'h3_count', 'k': 'count', 'v': n}, {'m': 'h4_count', 'k': 'count', 'v': t}, {'m': 'table_count', 'k': 'count', 'v': t}, {'m': 'thead_count', 'k': 'structure', 'v': t}, {'m': 'caption_count', 'k': 'structure', 'v': n},
+            {'m': 'scope_col_count', 'k': 'structure', 'v': n}, {'m': 'scope_row_count', 'k': 'structure', 'v': t}, {'m': 'th_count', 'k': 'structure', 'v': n + 2 * t}, {'m': 'menu_present', 'k': 'absence', 'v': (n > 1)::int}, {'m': 'pagetop_present', 'k': 'absence', 'v': (t > 0)::int},
+            {'m': 'footer_present', 'k': 'absence', 'v': (n > 2)::int}, {'m': 'rgb_fullwidth', 'k': 'increase', 'v': t}, {'m': 'caption_id_count', 'k': 'increase', 'v': n}, {'m': 'caption_id_duplicates', 'k': 'increase', 'v': greatest(n - 1, 0)},
+            {'m': 'intro_text', 'k': 'text', 'v': (n > 0)::int}, {'m': 'doctor_info_text', 'k': 'text', 'v': 0}, {'m': 'consultation_hours_text', 'k': 'text', 'v': (t > 1)::int}, {'m': 'update_line', 'k': 'text', 'v': (n > 1)::int}]) as x from v),
+    w as (select id, x.m as metric, x.k as kind, max(x.v) filter (where s = 'p') as p, max(x.v) filter (where s = 'c') as c, max(x.v) filter (where s = 'g') as g from m group by all),
+    d as (select *, case when abs(c - g) < abs(p - g) then 'improved' when abs(c - g) > abs(p - g) then 'regressed' else 'stable' end as closeness from w),
+    r as (select id as page_id, metric, case kind
+            when 'text' then case when c = g and p <> g then 'improved' when c <> g and p = g then 'regressed' when c = p then 'stable' else 'changed' end
+            when 'count' then closeness
+            when 'structure' then case when p < g and c > p then case when c <= g then 'improved' else 'warning' end when p = c then 'stable' when c < p and g >= p then 'regressed' else closeness end
+            when 'absence' then case when p > 0 and c = 0 then 'improved' when p = 0 and c > 0 then 'regressed' when c = 0 then 'stable' else 'warning' end
+            else case when c < p then 'improved' when c > p then 'warning' else 'stable' end end as verdict from d)
+"""
+
+
+@query("q38_version_verdicts", f"{_VERDICTS} select page_id, metric, verdict from r")
 def version_verdicts(spark, sf_dir):
-    metrics = compare.raw_metrics(render.order_versions(spark, sf_dir), ["split", "page_id"])
-    return compare.compare(metrics, "page_id").where("metric = 'h3_count'").select("page_id", "verdict")
+    """All 18 metrics of three versions of each page, and their verdicts."""
+    return compare.compare(compare.version_metrics(render.order_versions(spark, sf_dir)), "page_id").select("page_id", "metric", "verdict")
+
+
+@query("q38b_run_status", f"{_VERDICTS} select page_id, count(*) filter (where verdict = 'regressed')::bigint as regressed, count(*) filter (where verdict = 'warning')::bigint as warnings, case when count(*) filter (where verdict = 'regressed') > 0 then 'FAIL' else 'PASS' end as status from r group by 1")
+def run_status(spark, sf_dir):
+    return compare.run_status(compare.compare(compare.version_metrics(render.order_versions(spark, sf_dir)), "page_id"), "page_id")
+
+
+@query("q39_caption_ids", "select s_suppkey as page_id, 'caption-' || s_nationkey as id, (1 + s_suppkey % 4)::bigint as n from supplier where s_suppkey % 4 > 0")
+def caption_ids(spark, sf_dir):
+    """Ids of captions that a page uses again, whatever the case of the attribute's name."""
+    one = lambda name: F.concat(F.lit(f"<caption {name}='caption-"), F.col("s_nationkey").cast("string"), F.lit("'></caption>"))
+    html = F.concat(one("ID"), F.repeat(one("id"), (F.col("s_suppkey") % 4).cast("int")), F.lit('<p id="Caption-x"></p>'))
+    return compare.duplicate_caption_ids(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("page_id"), html.alias("html")))
 
 
 @query("q40_row_scopes", "select o_orderkey as page_id, false as ok, (count(*) - 1)::bigint as n_rows from orders join lineitem on l_orderkey = o_orderkey group by 1 having count(*) > 1")
@@ -266,15 +298,22 @@ def row_scopes(spark, sf_dir):
     return compare.row_scopes(n, compare.target_table(n, (), ())).select("page_id", "ok", "n_rows")
 
 
-@query("q41_denied_attrs", "select a as name, (select count(*) from orders) * 0 + n as n from (select 'class' a, count(*)::bigint n from orders)")
+@query("q41_denied_attrs", """
+    select 'table' as tag, 'class' as name, count(*)::bigint as n from orders
+    union all select 'th', 'scope', (2 * count(*))::bigint from orders where o_orderpriority in ('1-URGENT', '3-MEDIUM')
+    union all select 'img', a, count(*)::bigint from orders join lineitem on l_orderkey = o_orderkey, (values ('src'), ('alt')) t(a) where o_orderpriority = '4-NOT SPECIFIED' and l_returnflag = 'R' group by a
+    union all select 'td', 'colspan', count(*)::bigint from orders join lineitem on l_orderkey = o_orderkey where o_orderpriority = '5-LOW' and l_linestatus = 'O'
+""")
 def denied_attrs(spark, sf_dir):
-    kept = clean.drop_attrs(elements(order_nodes(spark, sf_dir), "table"))
-    return kept.select(F.explode(F.map_keys("attrs")).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    """Attributes that are left, by element."""
+    kept = clean.drop_attrs(order_nodes(spark, sf_dir).where("kind = 'element'"))
+    return kept.select("tag", F.explode(F.map_keys("attrs")).alias("name")).groupBy("tag", "name").agg(F.count("*").alias("n"))
 
 
-@query("q42_px_styles", "select s_suppkey, 'color: red' as style from supplier")
+@query("q42_px_styles", "select s_suppkey, case s_suppkey % 3 when 0 then 'color: c' || s_nationkey when 1 then '' else 'margin: 2px; width: 3em' end as style from supplier")
 def px_styles(spark, sf_dir):
-    style = F.concat(F.lit("width: "), F.col("s_suppkey").cast("string"), F.lit("px; color: red"))
+    n, k = F.col("s_nationkey").cast("string"), F.col("s_suppkey") % 3
+    style = F.when(k == 0, F.concat(F.lit("WIDTH: "), n, F.lit("px;  color: c"), n, F.lit("; ; height:1.5px;"))).when(k == 1, F.concat(F.lit(" max-width:"), n, F.lit("px; "))).otherwise("margin: 2px; width: 3em;")
     return table(spark, sf_dir, "supplier").select("s_suppkey", clean.strip_px(style).alias("style"))
 
 
@@ -285,14 +324,26 @@ def file_info(spark, sf_dir):
     return n.where("kind = 'text'").join(cleaned, ["page_id", "pre"]).where("text <> after").select("page_id")
 
 
-@query("q45_markers", "select event_id, case event_type when 'error' then '' when 'view' then 'BASIC_PARTS_SET BASIC_PARTS_SET' when 'click' then 'note ' else 'xBASIC_PARTS_SET' end as after from events")
+@query("q44_update_only", "select event_id as page_id, case event_type when 'view' then 'p' else 'td' end as tag from events where event_type in ('view', 'click')")
+def update_only(spark, sf_dir):
+    """Elements whose whole text is an update line, with white space of any kind inside."""
+    t = F.col("event_type")
+    html = F.when(t == "view", "<p> 更新：<b>2024年</b>1月 2日</p>").when(t == "click", "<table><tr><td>更新:2024年　12月31日</td><td>x</td></tr></table>").when(t == "error", "<p>更新日：2024年1月2日</p>").otherwise("<p>更新：2024年1月2日 から</p>")
+    return clean.update_only(shred(table(spark, sf_dir, "events").select(F.col("event_id").alias("page_id"), html.alias("html"))).where("tag <> 'b' or tag is null")).join(
+        shred(table(spark, sf_dir, "events").select(F.col("event_id").alias("page_id"), html.alias("html"))).select("page_id", "pre", "tag"), ["page_id", "pre"]).select("page_id", "tag")
+
+
+@query("q45_markers", """
+    select event_id, case event_type when 'error' then '' when 'view' then 'BASIC_PARTS_SET BASIC_PARTS_SET' when 'click' then 'note' when 'signup' then '日本語の文です INDEX PAGE ITEM' else 'xBASIC_PARTS_SET' end as after from events
+""")
 def markers(spark, sf_dir):
+    """Internal markers out of texts that are mostly a marker; a text that would lose most of itself, a longer word and Japanese prose stay."""
     t = F.col("event_type")
-    text = F.when(t == "error", "INDEX PAGE ITEM").when(t == "view", "BASIC_PARTS_SET BASIC_PARTS_SET").when(t == "click", "note INDEX  PAGE ITEM").otherwise("xBASIC_PARTS_SET")
-    return table(spark, sf_dir, "events").select("event_id", clean.without_markers(text).alias("after"))
+    text = F.when(t == "error", " index page　ITEM ").when(t == "view", "BASIC_PARTS_SET BASIC_PARTS_SET").when(t == "click", "note INDEX  PAGE ITEM").when(t == "signup", "日本語の文です INDEX PAGE ITEM").otherwise("xBASIC_PARTS_SET")
+    return table(spark, sf_dir, "events").select("event_id", F.when(clean.marker_like(text), clean.without_markers(text)).otherwise(text).alias("after"))
 
 
-@query("q46_layout_divs", f"select o_orderkey as page_id, (2 + 4 * n)::bigint as n from ({_ROWS}) where p = '4-NOT SPECIFIED' and r > 0")
+@query("q46_layout_divs", f"select o_orderkey as page_id, (2 + 4 * n)::bigint as n from ({ROWS}) where p = '4-NOT SPECIFIED' and r > 0")
 def layout_divs(spark, sf_dir):
     return clean.layout_to_div(order_nodes(spark, sf_dir)).where("was_layout").groupBy("page_id").agg(F.count("*").alias("n"))
 
@@ -333,19 +384,26 @@ def intro_protection(spark, sf_dir):
     return blocks.flags(render.event_blocks(spark, sf_dir), "user_id").select(F.col("block_no").alias("event_id"), "protect", "keyword")
 
 
-@query("q51_merge", f"with {_BLOCKS} select user_id, sum(case t when 'click' then 5 when 'purchase' then 42 else 45 end)::bigint as n_chars from h where acc and (cut is null or event_id < cut) group by 1")
+@query("q51_merge", f"with {_BLOCKS} select user_id, string_agg(case t when 'click' then 'short' when 'purchase' then '受付 abcdefghij klmnopqrst uvwxyz 0123456789' else 'plain abcdefghij klmnopqrst uvwxyz 0123456789' end, '' order by event_id) as html from h where acc and (cut is null or event_id < cut) group by 1")
 def merge_blocks(spark, sf_dir):
-    out = blocks.end_trim(blocks.flags(render.event_blocks(spark, sf_dir), "user_id"), "user_id")
-    return blocks.merge(out, "user_id").select("user_id", F.length("html").cast("long").alias("n_chars"))
+    return blocks.merge(blocks.end_trim(blocks.flags(render.event_blocks(spark, sf_dir), "user_id"), "user_id"), "user_id")
 
 
-@query("q52_reply_acceptance", "select s_suppkey, case s_suppkey % 5 when 0 then 'accepted' when 1 then 'short_output' when 2 then 'table_count' when 3 then 'visible_outside_table' else 'broken_escaped_closing_fragment_found' end as reason from supplier")
+@query("q52_reply_acceptance", """
+    select s_suppkey, case s_suppkey % 9 when 0 then 'accepted' when 1 then 'short_output' when 2 then 'table_count' when 3 then 'visible_outside_table' when 4 then 'broken_escaped_closing_fragment_found' when 5 then 'pseudo_row_cell_tags_found'
+                                         when 6 then 'table_row_or_cell_outside_table' when 7 then 'no_row' else 'empty_first_row' end as reason,
+           case when s_suppkey % 9 = 0 then '<table><caption>&amp; about table ' || s_suppkey || '</caption><tr><td>one</td></tr></table>' else '<table></table>' end as html from supplier
+""")
 def reply_acceptance(spark, sf_dir):
-    ok = "<table><caption>about this table</caption><tr><td>one</td></tr></table>"
-    kind = F.col("s_suppkey") % 5
-    reply = F.when(kind == 0, ok).when(kind == 1, "<table></table>").when(kind == 2, ok + ok).when(kind == 3, "Here it is: " + ok).otherwise(ok + "&lt;/td&gt;")
+    """Why replies are taken or not, and what then stands for the table."""
+    key = F.col("s_suppkey").cast("string")
+    ok = F.concat(F.lit("<table><caption>&amp; about table "), key, F.lit("</caption><tr><td>one</td></tr></table>"))
+    none, open_ = F.concat(F.lit("<table><caption>a caption long enough for table "), key, F.lit("</caption></table>")), F.concat(F.lit("<table><caption>long enough "), key, F.lit("</caption><tr><td>never closed</td></table>"))
+    kind = F.col("s_suppkey") % 9
+    reply = F.when(kind == 0, F.concat(F.lit("<html><body> "), ok, F.lit("</body></html>"))).when(kind == 1, "<table></table>").when(kind == 2, F.concat(ok, ok)).when(kind == 3, F.concat(F.lit("Here it is: "), ok))
+    reply = reply.when(kind == 4, F.concat(ok, F.lit("&LT; / </td>"))).when(kind == 5, F.concat(ok, F.lit("< row>"))).when(kind == 6, F.concat(ok, F.lit("<td>"))).when(kind == 7, none).otherwise(open_)
     pairs = table(spark, sf_dir, "supplier").select("s_suppkey", F.lit("<table></table>").alias("original"), reply.alias("text"))
-    return replies.accept(pairs).select("s_suppkey", "reason")
+    return replies.accept(pairs).select("s_suppkey", "reason", "html")
 
 
 @query("q53_tokens_and_cost", "select user_id, event_type as step, count(*)::bigint as calls, sum(event_id)::bigint as tokens, round(sum(event_id) * 50.0 / 1e6, 6)::double as cost from events where event_type <> 'error' group by all")
@@ -373,23 +431,42 @@ def last_calls(spark, sf_dir):
 
 
 @query("q56_iframe_titles", """
-    with f as (select s_nationkey as page_id, s_suppkey as pre, row_number() over (partition by s_nationkey order by s_suppkey) as nth from supplier)
-    select page_id, pre, case when nth > 2 then 'capped' else 'video' end as decision from f
+    with f as (select s_nationkey as page_id, s_suppkey as pre, s_suppkey % 3 <> 0 as video, s_suppkey % 5 <> 0 as found, s_name, row_number() over (partition by s_nationkey order by s_suppkey) as nth from supplier)
+    select page_id, pre, case when video and nth > 2 then 'capped' when not found then 'not_found' when video then 'video' else 'page_title' end as decision,
+           case when video and nth > 2 or not found then case when video then 'Video' else '' end when video then s_name || '（YouTube）' else 'A ' || s_name end as new_title from f
 """)
 def iframe_titles(spark, sf_dir):
-    src = F.concat(F.lit("https://www.youtube.com/embed/v"), F.col("s_suppkey").cast("string"))
-    rows = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("page_id"), F.col("s_suppkey").alias("pre"), src.alias("src"), F.lit("YouTube video player").alias("title"), "s_name")
-    return replies.iframe_titles(rows, rows.select("src", F.col("s_name").alias("title")), cap=2).select("page_id", "pre", "decision")
+    """Titles for frames from captured lookups; the cap holds for videos and counts lookups of all kinds."""
+    key, video = F.col("s_suppkey").cast("string"), F.col("s_suppkey") % 3 != 0
+    src = F.when(video, F.concat(F.lit("https://www.youtube.com/embed/video"), F.lpad(key, 6, "0"))).otherwise(F.concat(F.lit("https://example.org/"), key))
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("long").alias("page_id"), F.col("s_suppkey").alias("pre"), src.alias("src"), F.when(video, "Video").otherwise("").alias("title"), "s_name")
+    found = rows.where("pre % 5 <> 0").select("src", F.when(video_src(), F.concat(F.lit("[ "), "s_name", F.lit(" ] - YouTube"))).otherwise(F.concat(F.lit("A   "), "s_name")).alias("title"))
+    return replies.iframe_titles(rows.drop("s_name"), found, cap=2).select(F.col("page_id").cast("int").alias("page_id"), "pre", "decision", "new_title")
 
 
-@query("q57_image_targets", "select p_partkey as page_id, 1 as img_index, '/icon/' || p_partkey || '.png' as src, p_name as alt from part where p_type = 'PROMO'")
+def video_src():
+    return F.col("src").contains("youtube")
+
+
+@query("q57_image_targets", """
+    with i as (select s_nationkey as page_id, s_suppkey, row_number() over (partition by s_nationkey order by s_suppkey) as img_index from supplier),
+    n as (select *, row_number() over (partition by page_id order by img_index) as nth from i where s_suppkey % 4 <> 0)
+    select page_id::bigint as page_id, img_index::int as img_index, '/i' || s_suppkey || '.png' as src, 'alt ' || s_suppkey as alt, 'Pictures' as context from n where nth <= 3
+""")
 def image_targets(spark, sf_dir):
-    return replies.image_targets(link_nodes(spark, sf_dir)).select("page_id", "img_index", "src", "alt")
+    """The first three images with a source of each page; the index counts all images."""
+    key = F.col("s_suppkey").cast("string")
+    img = F.when(F.col("s_suppkey") % 4 == 0, "<img>").otherwise(F.concat(F.lit('<img src="/i'), key, F.lit('.png" alt=" alt '), key, F.lit(' ">')))
+    imgs = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", img.alias("img")))), lambda x: x["img"]), "")
+    pages = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").cast("long").alias("page_id")).agg(F.concat(F.lit("<div>Pictures"), imgs, F.lit("</div>")).alias("html"))
+    return replies.image_targets(materialise(shred(pages)), per_page=3)
 
 
-@query("q58_alt_texts", "select p_partkey, p_name || '。' as alt from part")
+@query("q58_alt_texts", "select p_partkey, case p_partkey % 3 when 0 then p_name || '。' when 1 then p_name || ' 。' else '「' || p_name || '」の写真。' end as alt from part")
 def alt_texts(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", fx.sanitised_alt(F.concat(F.lit(" 「"), "p_name", F.lit("」 。。"))).alias("alt"))
+    k = F.col("p_partkey") % 3
+    said = F.when(k == 0, F.concat(F.lit(' "'), "p_name", F.lit('"'))).when(k == 1, F.concat(F.lit(" （"), "p_name", F.lit(")　 。。"))).otherwise(F.concat(F.lit("。。「"), "p_name", F.lit("」。の写真。")))
+    return table(spark, sf_dir, "part").select("p_partkey", fx.sanitised_alt(said).alias("alt"))
 
 
 @query("q59_pending_registry", "select c_custkey as sheet_row, c_name as url, case when c_mktsegment = 'BUILDING' then 'output_' || c_custkey || '.html' else c_mktsegment end as filename, c_acctbal > 0 as vision_flag from customer where c_mktsegment <> 'MACHINERY'")
@@ -408,45 +485,55 @@ def registry_build(spark, sf_dir):
     return out.select("no", F.when(F.col("slug").isNotNull(), F.col("filename")).alias("filename"), "problem")
 
 
-@query("q61_reply_json", "select conv_id, turn, case role when 'user' then 'ok' when 'assistant' then 'wrong_rule' else 'has_page' end as \"check\" from conversations")
+@query("q61_reply_json", "select conv_id, turn, case when turn % 5 = 4 then 'no_field' when turn % 7 = 6 then 'not_json' else case role when 'user' then 'ok' when 'assistant' then 'wrong_rule' else 'has_page' end end as \"check\" from conversations")
 def reply_json(spark, sf_dir):
-    role = F.col("role")
-    reply = F.when(role == "user", '{"ruleId": "R", "alt": "x"}').when(role == "assistant", '{"ruleId": "S", "alt": "x"}').otherwise('{"ruleId": "R", "html": "x"}')
+    role, turn = F.col("role"), F.col("turn")
+    reply = F.when(turn % 5 == 4, '{"ruleId": "R", "reason": "x", "alt": ""}').when(turn % 7 == 6, "R: x").when(role == "user", '{"ruleId": "R", "suggestedAlt": "x", "html": ""}').when(role == "assistant", '{"ruleId": "S", "alt": "x"}').otherwise('{"ruleId": "R", "html": "x", "alt": "y"}')
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lit("R").alias("rule_id"), reply.alias("reply"))
     return replies.reply_json(c).select("conv_id", "turn", "check")
 
 
-#: Rule ids of the two published rule lists (fixed values).
-FILE_RULES = "HTML-R-08 HTML-R-15 HTML-R-16 HTML-W-02 IMG-W-01 IMG-W-02 LINK-R-02 LINK-R-04 LINK-R-08 LINK-R-09 IMG-R-05 IMG-R-09 SKIP-04 FORM-R-01 ARIA-R-01 HEAD-R-01".split()
-SIDEBAR_RULES = "HTML-R-08 HTML-R-15 HTML-R-16 HTML-R-21 HTML-W-02 IMG-W-01 IMG-W-02 LINK-R-02 LINK-R-03 LINK-R-04 LINK-R-06 LINK-R-08 LINK-R-09 IMG-R-05 IMG-R-09 SKIP-04".split()
-
-
 @query("q62_rule_drift", "select * from (values ('FORM-R-01', 'file'), ('ARIA-R-01', 'file'), ('HEAD-R-01', 'file'), ('HTML-R-21', 'sidebar'), ('LINK-R-03', 'sidebar'), ('LINK-R-06', 'sidebar')) t(rule_id, only_in)")
 def rule_drift(spark, sf_dir):
-    a = spark.createDataFrame([(r,) for r in FILE_RULES], "rule_id string")
-    b = spark.createDataFrame([(r,) for r in SIDEBAR_RULES], "rule_id string")
+    a, b = sidebar.file_rules(spark).select(F.col("id").alias("rule_id")), sidebar.rules(spark).select(F.col("id").alias("rule_id"))
     return a.exceptAll(b).withColumn("only_in", F.lit("file")).unionByName(b.exceptAll(a).withColumn("only_in", F.lit("sidebar")))
 
 
-@query("q63_repeated_noise", f"select page_id, noise, count(*)::bigint as n from (select page_id, unnest(regexp_extract_all(bare, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1)) as noise from ({_BARE})) where noise not like '%&%' group by all having count(*) >= 2")
+@query("q63_repeated_noise", f"select page_id, noise, count(*)::bigint as n from (select page_id, unnest(regexp_extract_all(bare, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1)) as noise from ({BARE})) where noise not like '%&%' group by all having count(*) >= 2")
 def repeated_noise(spark, sf_dir):
     menu = page_nodes(spark, sf_dir).where("kind = 'text' and parent_tag = 'a' and array_contains(up, 'nav') and not contains(text, '&')")
-    return audit.repeated_noise(menu).select("page_id", "noise", "n")
+    return audit.repeated_texts(menu).select("page_id", "noise", "n")
 
 
-@query("q64_page_text")
+@query("q64_page_text", """
+    with b as (select page_id, regexp_replace(regexp_replace(html, '<(script|style|title)>.*?</(script|style|title)>', '<x>', 'gs'), '<!--.*?-->', '<x>', 'gs') as h from pages),
+    t as (select page_id, list_filter(list_transform(regexp_split_to_array(h, '<[^>]*>'), lambda x: trim(regexp_replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), e' \\t\\n\\r')), lambda x: x <> '') as parts from b)
+    select page_id, array_to_string(parts, ' ') as text from t
+""")
 def whole_text(spark, sf_dir):
-    """Visible text of each page; held against a parser in the tests."""
+    """Visible text of each page."""
     return page_text(page_nodes(spark, sf_dir))
 
 
-@query("q65_clean_pages")
+@query("q65_clean_pages", f"""
+    with o as (select *, p = '4-NOT SPECIFIED' and r > 0 as layout, p in ('1-URGENT', '3-MEDIUM') as head, case when st = 'F' then 'Filled' when st = 'O' then 'Open' end as heading from ({ROWS})),
+    d as (select *, case when p = '1-URGENT' then 'Lines of order' when p = '2-HIGH' then 'table' when heading is not null and not layout then heading || '一覧' end as caption from o),
+    f as (select *, head and caption is not null as target from d),
+    l as (select l_orderkey, string_agg(case when layout then '<div><div>' || case when l_returnflag = 'R' then '<img src="/r.png" alt="R">' else l_returnflag end || '</div><div>' || l_linestatus || '</div><div>' || l_quantity::int || '</div></div>'
+                                             else '<tr>' || case when target then '<th scope="row">' || l_returnflag || '</th>' when p = '5-LOW' and l_linestatus = 'O' then '<td colspan="2">' || l_returnflag || '</td>' else '<td>' || l_returnflag || '</td>' end || '<td>' || l_linestatus || '</td><td>' || l_quantity::int || '</td></tr>' end,
+                                         '' order by l_linenumber, l_returnflag, l_linestatus, l_quantity) as lines from f join lineitem on l_orderkey = o_orderkey group by 1)
+    select o_orderkey as page_id, case st when 'F' then '<h3>Filled</h3>' when 'O' then '<h2>Open</h2>' else '' end
+           || case when layout then '<div class="t layout-table"><div>' || coalesce(lines, '') || '</div></div>'
+                   else '<table class="t">' || coalesce('<caption>' || caption || '</caption>', '') || case when head then '<thead><tr><th scope="col">区分</th><th scope="col">内容</th>' || case when target then '<th scope="col">備考</th>' else '<th>備考</th>' end || '</tr></thead>' else '' end
+                        || '<tbody>' || coalesce(lines, '') || '</tbody></table>' end as html
+    from f left join l on l_orderkey = o_orderkey
+""")
 def clean_pages(spark, sf_dir):
-    """All cleaning rules and serialisation over the rendered order tables; idempotence is tested."""
+    """All cleaning rules, header repair and serialisation over the rendered order tables."""
     return clean.serialise(clean.pre_clean(order_nodes(spark, sf_dir)))
 
 
-@query("q66_extract", f"select page_id, 'xpath' as method, len(regexp_extract_all(regexp_extract(bare, '<article>(.*)$', 1, 's'), '<p>'))::bigint as n_paragraphs from ({_BARE})")
+@query("q66_extract", f"select page_id, 'xpath' as method, len(regexp_extract_all(regexp_extract(bare, '<article>(.*)$', 1, 's'), '<p>'))::bigint as n_paragraphs from ({BARE})")
 def extract_article(spark, sf_dir):
     """Content of the article element; of any length."""
     pages = table(spark, sf_dir, "pages")
@@ -460,4 +547,6 @@ def structural_chunks(spark, sf_dir):
     return blocks.structural(materialise(page_nodes(spark, sf_dir)), 2000).select("page_id", "block_no", "raw_len")
 
 
-__all__ = ["ORACLE_SQL", "QUERIES", "Window", "visible"]
+from nodeloom.plans import reports  # noqa: E402  registers its queries
+
+__all__ = ["ORACLE_SQL", "QUERIES", "reports"]

@@ -6,7 +6,7 @@ therefore be written on the base columns and never touch HTML.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -66,9 +66,59 @@ def event_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """split, page_id, html: three versions of a page for each order: an h3 for each line of flag A (previous), N (current), R (gold), and a table for each open line."""
+    """split, page_id, html: three versions of a page for each order, from its lines of flag A (previous), N (current) and R (gold).
+
+    With n lines, t of them open: n h3 with a th and a caption each, t h4 with a table, and parts and texts that come with more lines. Names are in mixed case.
+    """
     items = _read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page_id"), "l_returnflag").agg(F.count("*").cast("int").alias("n"), F.sum((F.col("l_linestatus") == "O").cast("int")).cast("int").alias("tables"))
     wide = items.groupBy("page_id").pivot("l_returnflag", ["A", "N", "R"]).agg(F.first("n").alias("n"), F.first("tables").alias("t")).na.fill(0)
-    page = lambda f: F.concat(F.repeat(F.lit("<h3>x</h3>"), F.col(f"{f}_n")), F.repeat(F.lit("<table><thead></thead></table>"), F.col(f"{f}_t")))
+
+    def page(f: str):
+        n, t = F.col(f"{f}_n"), F.col(f"{f}_t")
+        has = lambda c, html: F.when(c, html).otherwise("")
+        return F.concat(
+            F.repeat(F.lit('<H3>x</H3><caption ID="caption-a"></caption><TH Scope="COL"></TH>'), n), F.repeat(F.lit('<h4>y</h4><TABLE><THEAD></THEAD></TABLE><th SCOPE="row"></th><p>rgb（1）</p>'), t),
+            has(n > 0, "<p>休日（日曜日または祝日）在宅当番医について</p>"), has(n > 1, '<p>更新：</p><a href="#x-menu">m</a>'), has(n > 2, "<FOOTER></FOOTER>"), has(t > 0, "<p> ページの 先頭へ</p><p>Page  Top</p>"), has(t > 1, "<p>診療時間</p>"), has(n == 0, "<!-- menu --><p>menus</p>"),
+        )
+
     versions = F.array(*[F.struct(F.lit(s).alias("split"), page(f).alias("html")) for s, f in (("previous", "A"), ("current", "N"), ("gold", "R"))])
     return wide.select("page_id", F.explode(versions).alias("v")).select("v.split", "page_id", "v.html")
+
+
+def audit_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, html: a page for each part that breaks one table rule, by p_partkey modulo 8.
+
+    0 pseudo tags, 1 cells outside a table, 2 damaged closing tags in other cases and with spaces, 3 rows of 0, 3 and 1 cells,
+    4 a nested table without caption whose th has no scope, 5 a generic caption and an empty scope, 6 upper case and no fault, 7 neither caption nor th, and an escaped tag that is no fault.
+    """
+    kinds = (
+        "<p>\n<row>\n<cell>x</cell></row></p>", "<p>one</p><tr><td>x</td></tr>", "<p>a &LT; /TD &gt;</p>\n\n\n<p>b</ROW ></p>", "<p>text</p>\n<table><caption>Rows</caption><tr></tr><tr><th scope='ROW'>a</th><td>b</td><td>c</td></tr><tr><td>d</td></tr></table>",
+        "<table><caption>Outer</caption><tr><td><table><tr><th>a</th></tr></table></td></tr></table>", "<table><caption> 一覧 </caption>\n<tr><th scope=''>a</th></tr></table>", "<TABLE><CAPTION>List</CAPTION><TR><TH SCOPE=col>a</TH></TR></TABLE>", "<table><tr><td>&lt;/tbody&gt;</td></tr></table>",
+    )
+    html = F.element_at(F.array(*map(F.lit, kinds)), (F.col("p_partkey") % 8 + 1).cast("int"))
+    return _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+
+
+def header_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, html: a page for each order with one table without scopes, by o_orderkey modulo 4.
+
+    0: a first row of header words over lines with phone numbers; 1: a first column of header words beside long texts; 2: cells that are mostly blank;
+    3: a table with a head under a heading, whose first head cell names a division.
+    """
+    words = F.array(*map(F.lit, ("電話", "住所", "備考", "時間", "対象")))
+    kind = F.col("o_orderkey") % 4
+    line = (
+        F.when(kind == 0, "<tr><td>内科</td><td>0952-12-3456</td><td>市内1丁目2番</td></tr>")
+        .when(kind == 1, F.concat(F.lit("<tr><td>"), F.element_at(words, ((F.col("nth") - 1) % 5 + 1).cast("int")), F.lit("</td><td>本文のない長い説明の文章です</td></tr>")))
+        .when(kind == 2, "<tr><td>x</td><td> </td><td>&nbsp;</td></tr>").otherwise(F.concat(F.lit("<tr><td class='f'>"), "l_returnflag", F.lit("</td><td>1</td></tr>")))
+    )
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey")
+    items = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_partkey")
+    by = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_partkey")
+    items = items.withColumn("nth", F.row_number().over(by)).withColumnRenamed("l_orderkey", "o_orderkey")
+    joined = orders.join(items, "o_orderkey", "left")
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("nth").isNotNull(), F.struct("nth", line.alias("html"))))), lambda x: x["html"]), "")
+    pages = joined.groupBy("o_orderkey").agg(rows.alias("rows"))
+    before = F.when(kind == 0, "<table><tr><td>診療科</td><td>電話</td><td>住所</td></tr>").when(kind == 3, "<h3>お知らせ</h3><table><thead><tr><th>区分</th><th scope='COL'>内容</th></tr></thead><tbody>").otherwise("<table><tbody>")
+    after = F.when(kind == 0, "</table>").otherwise("</tbody></table>")
+    return pages.select(F.col("o_orderkey").alias("page_id"), F.concat(before, "rows", after).alias("html"))
