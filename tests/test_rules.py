@@ -47,7 +47,8 @@ def test_detector_details(spark):
     assert detect.in_page_links(n).first().summary == "target_exists"
     with pytest.raises(ValueError):
         detect.findings(n, ("HTML-R-15", "HTML-R-15"))
-    assert detect.heading_order(nodes(spark, "<h1>a</h1><h3>b</h3>")).count() == 1
+    long_link = "/" + "x" * 400 + "#end"
+    assert detect.cross_page_links(nodes(spark, f'<a href="{long_link}">y</a>'), "http://h/p").first().detail == long_link  # values are kept whole
 
 
 def grid(*rows):
@@ -69,7 +70,7 @@ def test_layout_and_nested(spark):
 
 
 TABLE = "<table><caption>a caption of some length here</caption><tr><td>x</td></tr></table>"
-REPLIES = {TABLE: "accepted", "<table></table>": "short_output", TABLE + "&lt;/tr&gt;": "broken_escaped_closing_fragment_found", TABLE + "<row>": "pseudo_row_cell_tags_found", TABLE + TABLE: "table_count", TABLE + "<td>": "table_row_or_cell_outside_table", TABLE + " done": "visible_outside_table", "<table><caption>a caption of quite some length in here</caption></table>": "no_row", "<html><body>" + TABLE + "</body></html>": "accepted", None: "short_output"}
+REPLIES = {TABLE: "accepted", "<table></table>": "short_output", TABLE + "&lt;/</tr>": "broken_escaped_closing_fragment_found", TABLE + "<row>": "pseudo_row_cell_tags_found", TABLE + TABLE: "table_count", TABLE + "<td>": "table_row_or_cell_outside_table", TABLE + " done": "visible_outside_table", "<table><caption>a caption of quite some length in here</caption></table>": "no_row", "<html><body>" + TABLE + "</body></html>": "accepted", None: "short_output"}
 
 
 def test_replies(spark):
@@ -192,8 +193,8 @@ def test_rules_file(spark, tmp_path):
 
 
 def test_iframe_titles(spark):
-    yt = "https://www.youtube.com/embed/"
-    rows = [(1, 0, yt + "a", ""), (1, 1, yt + "b", "player"), (1, 2, "http://m", "video"), (1, 3, yt + "c", "Good（YouTube）"), (1, 4, yt + "z", "")]
+    yt = "https://www.youtube.com/embed/video_"
+    rows = [(1, 0, yt + "a", ""), (1, 1, yt + "b", "player"), (1, 2, "http://m", "player"), (1, 3, yt + "c", "Good（YouTube）"), (1, 4, yt + "z", "")]
     titles = spark.createDataFrame([(yt + "a", "Film - YouTube"), (yt + "b", "B"), ("http://m", "Map  page")], "src string, title string")
     found = {r.pre: (r.decision, r.new_title) for r in replies.iframe_titles(spark.createDataFrame(rows, "page_id int, pre int, src string, title string"), titles, cap=2).collect()}
     assert found == {0: ("video", "Film（YouTube）"), 1: ("video", "B（YouTube）"), 2: ("page_title", "Map page"), 3: ("kept", "Good（YouTube）"), 4: ("capped", "")}
@@ -206,7 +207,7 @@ def test_extract(spark):
     found = {r.page_id: (r.method, r.html) for r in extract.extract(pages, shred(pages), "//*[@id='x']").collect()}
     assert found == {0: ("xpath", f"<p>{long_}</p>"), 1: ("density", f"<p>{long_}</p>"), 2: ("full", "<p>short</p>"), 3: ("full", "")}
     with pytest.raises(ValueError):
-        extract.path_predicate("/html/body[1]")
+        extract.parse_path("html/body[1]")
 
 
 def test_fixture_checks(spark):
@@ -216,3 +217,111 @@ def test_fixture_checks(spark):
     assert all(r.ok for r in fixtures.manifest_checks(cases, "x", "y").collect())
     rules = spark.createDataFrame([("a",), ("b",)], "id string")
     assert fixtures.rule_table_checks(rules, spark.createDataFrame([(True,)], "parses boolean"), 2).first().ok
+
+
+def html_of(frame):
+    return {r.page_id: r.html for r in frame.collect()}
+
+
+def test_header_repair_keeps_attributes_and_is_stable(spark):
+    column = "<table><tr><td class='k'>診療科</td><td>電話</td><td>住所</td></tr>" + "<tr><td>内科</td><td>0952-12-3456</td><td>市内1丁目2番</td></tr>" * 2 + "</table>"
+    row = "<table>" + "".join(f"<tr><td>{w}</td><td>本文のない長い説明の文章です</td></tr>" for w in ("電話", "住所", "備考")) + "</table>"
+    blank = "<table><tr><td>&nbsp;</td><td>a</td></tr><tr><td> </td><td></td></tr></table>"
+    pages = [(1, column), (2, row), (3, blank), (4, "<h3> </h3><h2>News</h2><table><thead><tr><th>区分</th><th>b</th></tr></thead><tbody><tr><td>x</td><td>1</td></tr><tr><td>12</td><td>2</td></tr></tbody></table>")]
+    once = html_of(clean.serialise(clean.marked(tables.fix_headers(shred(spark.createDataFrame(pages, "page_id long, html string"))))))
+    assert once[1].count('scope="col"') == 3 and '<th class="k" scope="col">診療科</th>' in once[1]
+    assert once[2].count('<th scope="row">') == 3 and once[3] == blank.replace("&nbsp;", "").replace("<td> </td>", "<td></td>")
+    assert once[4] == '<h3></h3><h2>News</h2><table><caption>News一覧</caption><thead><tr><th scope="col">区分</th><th scope="col">b</th></tr></thead><tbody><tr><th scope="row">x</th><td>1</td></tr><tr><td>12</td><td>2</td></tr></tbody></table>'
+    again = html_of(clean.serialise(clean.marked(tables.fix_headers(shred(spark.createDataFrame(list(once.items()), "page_id long, html string"))))))
+    assert again == once
+
+
+def test_audit_lines_and_report(spark, tmp_path):
+    from nodeloom.sources import outputs
+
+    html = "a\n本文へスキップ b 本文へスキップ\n\n<img src='x/Blank.gif' alt='z'>\n<a>PDF</a> � " + "先頭に戻る" * 5
+    pages = spark.createDataFrame([(1, html), (2, "<table><caption>List</caption><tr><th scope='col'>a</th></tr></table>"), (3, None)], "page_id long, html string")
+    n = shred(pages)
+    issues = audit.audit(pages, n)
+    found = sorted((r.rule_id, r.line) for r in issues.collect() if r.line)
+    assert found == [("OUT-ALT-001", 4), *[("OUT-CMS-001", 5)] * 5, ("OUT-ENC-001", 5), *[("OUT-EXTRACT-001", 2)] * 2, ("OUT-LINK-001", 5)]
+    metrics = audit.table_metrics(n).withColumn("file", F.col("page_id").cast("string")).drop("page_id")
+    noise = audit.repeated_noise(pages, n).withColumn("file", F.col("page_id").cast("string"))
+    status = outputs.write_audit(audit.report(issues, pages), metrics, noise, f"file://{tmp_path}/r/a.md", f"{tmp_path}/r/a.csv")
+    lines = (tmp_path / "r/a.csv").read_text().splitlines()
+    assert status == "FAIL" and lines[0].startswith("file,severity,rule_id") and len(lines) == issues.count() + 1 and lines[1].startswith("1,High")
+    md = (tmp_path / "r/a.md").read_text()
+    assert "- status: FAIL" in md and "- 1: back_links x 5" in md and "| 本文へスキップ b 本文へスキップ |" in md
+
+
+def test_pages_registry_and_usage_are_written(spark, tmp_path):
+    from nodeloom.operators import sidebar
+    from nodeloom.sources import outputs, registry
+
+    cleaned = spark.createDataFrame([("anjo", "a.html", "<p>é</p>"), ("anjo", "../b.html", ""), (None, "c.html", None)], "municipality string, filename string, html string")
+    assert not any(r.written for r in outputs.write_pages(cleaned, f"{tmp_path}/out", dry_run=True).collect())
+    assert all(r.written for r in outputs.write_pages(cleaned, f"{tmp_path}/out").collect())
+    assert (tmp_path / "out/anjo/a.html").read_text() == "<p>é</p>" and (tmp_path / "out/anjo/.._b.html").exists()
+    assert not any(r.written for r in outputs.write_pages(cleaned, f"{tmp_path}/out", overwrite=False).collect())
+    assert not list((tmp_path / "out").rglob("_tmp*"))
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src/安城市.csv").write_text("\ufeffNo.,URL,ページ名,ランク\n1,http://a/1,x,A\n2.0, ,y,B\n3,http://a/1,z,\n", encoding="utf-8")
+    rows = registry.collect_sources(spark, [f"{tmp_path}/src/安城市.csv"])
+    assert {(r.kind, r.subject, r.n) for r in registry.source_warnings(rows).collect()} == {("empty_url", "安城市", 1), ("duplicate_url", "http://a/1", 2), ("rows", "安城市", 2), ("total", "", 2)}
+    (tmp_path / "map.json").write_text('{"安城市": "//main"}', encoding="utf-8")
+    slugs = spark.createDataFrame(list(registry.SLUGS.items()), "municipality string, slug string")
+    outputs.write_registry(registry.registry_rows(registry.build_registry(rows, slugs), registry.read_xpath_map(spark, f"{tmp_path}/map.json")), f"{tmp_path}/registry.csv")
+    text = (tmp_path / "registry.csv").read_text(encoding="utf-8")
+    assert text.startswith("\ufeff自治体名,URL") and "安城市,http://a/1,anjo_003.html,//main,未完了" in text
+    with pytest.raises(ValueError):
+        registry.read_source(spark, f"{tmp_path}/x.txt")
+    answers = spark.createDataFrame([("c", "R", "success", 5)], "candidate_id string, rule_id string, status string, totalTokenCount long")
+    outputs.append_usage(sidebar.usage_entries(answers, F.current_timestamp()), f"{tmp_path}/log")
+    outputs.append_usage(sidebar.usage_entries(answers, F.current_timestamp()), f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    assert log.count() == 2 and len(log.columns) == 26 and log.first().ruleId == "R"
+    assert sidebar.save_settings(spark, apiKey="secret", model="m")["hasApiKey"] and "secret" not in str(sidebar.settings(spark)) and not sidebar.forget_key(spark)["hasApiKey"]
+
+
+def test_paths_of_several_steps(spark):
+    n = nodes(spark, "<html><body><div id='a'><p>1</p><div class='x main'><p>2</p><p>3</p></div></div><div><p>4</p></div></body></html>")
+    text = lambda path: [r.brief for r in extract.matches(n, path).join(n.select("page_id", "pre", "brief"), ["page_id", "pre"]).orderBy("pre").collect()]
+    assert text("/html/body/div[2]/p") == ["4"] and text("//div[@id='a']//p") == ["1", "2", "3"] and text("//div//div/p[last()]") == ["3"]
+    assert text('//*[contains(@class, "main")]/p[1]') == ["2"] and text("//div[@id and starts-with(@id,'a')]/p") == ["1"] and text("//p[1]") == ["1", "2", "4"] and text("/p") == []
+    assert extract.table_only(n, extract.first_match(n, "//body")).first().table_only is False
+    t = nodes(spark, "<div id='t'><table><tr><td>a</td></tr></table><p> </p></div>")
+    assert extract.table_only(t, extract.first_match(t, "//div")).first().table_only is True
+
+
+def test_page_run_with_captured_replies(spark):
+    from nodeloom.operators import process, prompts
+
+    para = "<p>" + "本文です。" * 60 + "</p>"
+    table = "<table><caption>C</caption><thead><tr><th>a</th><th>b</th></tr></thead><tbody><tr><td>1</td><td>2</td></tr></tbody></table>"
+    pages = [(1, "http://h/x/p.html", f"<html><body><main>{para}<div id='footer'>f</div><a href='../q'>続き</a>{table}</main></body></html>"), (2, "http://h/p", f"<main>{para}<p>INDEX PAGE ITEM</p><p>{'後ろ' * 20}</p></main>"), (3, "http://h/p", None), (4, "http://h/p", f"<main>{para}<div><p>PageTop</p></div><p>z</p><img src='/i.png' alt=''></main>")]
+    d = spark.createDataFrame(pages, "page_id long, url string, html string")
+    fixed = table.replace("<th>", '<th scope="col">')
+    reply = fixed.replace(">1<", ">one<")
+    prompt = spark.range(1).select(prompts.table_prompt(F.lit(fixed)).alias("p")).first().p
+    captured = spark.createDataFrame([(prompt, "```html\n" + reply + "\n```", 11)], "prompt string, text string, tokens long").select(F.sha2("prompt", 256).alias("prompt_sha256"), "text", "tokens")
+    seen = spark.createDataFrame([("http://h/i.png", "絵", 5)], "src string, text string, tokens long")
+    found = {r.page_id: r for r in process.process(d, "//main", captured, descriptions=seen, limit=310).collect()}
+    assert ">one<" in found[1].html and found[1].tokens == 11 and 'href="http://h/q"' in found[1].html and 'id="footer"' not in found[1].html
+    assert found[2].trimmed == "block" and "後ろ" not in found[2].html and "本文です" in found[2].html and found[2].dropped >= 1
+    assert found[3].html == "" and found[3].n_blocks == 0
+    assert found[4].trimmed == "page" and "PageTop" not in found[4].html and "z" not in found[4].html.replace("<p>", "")
+
+
+def test_deep_and_unclosed_pages_stay_small(spark):
+    deep = "<div>" * 3000 + "x" * 300 + "<p>y" * 3000
+    n = shred(spark.createDataFrame([(1, deep)], "page_id long, html string"))
+    assert n.agg(F.max(F.size("up"))).first()[0] <= 2 and n.agg(F.max(F.length("brief"))).first()[0] <= 251
+
+
+def test_reply_scanner_handles_nested_commented_and_upper_case(spark):
+    ok = "<TABLE><caption>a caption that is long enough</caption><TR><TD>x &amp; y</TD></TR></TABLE>"
+    cases = [(ok, "accepted"), (f"<!-- <table> -->{ok}", "accepted"), (ok.replace("x", "<table></table>"), "table_count"), (f"<title>t</title>{ok}", "visible_outside_table"), (f"{ok}</td>", "table_row_or_cell_outside_table"), (f"{ok}&nbsp;", "visible_outside_table"), (None, "short_output")]
+    d = spark.createDataFrame([(i, t, "o") for i, (t, _) in enumerate(cases)], "i int, text string, original string")
+    found = {r.i: r for r in replies.accept(d).collect()}
+    assert [found[i].reason for i in range(len(cases))] == [e for _, e in cases]
+    assert found[0].html == "<table><caption>a caption that is long enough</caption><tr><td>x &amp; y</td></tr></table>" and found[6].html == "o"
