@@ -168,8 +168,8 @@ def with_next(rows: DataFrame, value: Column, name: str) -> DataFrame:
     own = F.struct(F.col("_range").alias("range"), F.lit(0).alias("guard"))
     guard = F.struct(F.when(F.col("_range") == 0, F.lit(last)).otherwise(F.col("_range") - 1).alias("range"), F.lit(1).alias("guard"))
     spread = placed.withColumn("_to", F.explode(F.when(begins, F.array(own, guard)).otherwise(F.array(own)))).drop("_range").withColumns({"_range": F.col("_to.range"), "_guard": F.col("_to.guard")}).drop("_to")
-    # as many partitions as ranges: a task's size follows the range, not a setting of the session
-    dealt = spread.repartition(len(starts), "_range")
+    # each range is one task, whose size follows the range and not a setting of the session
+    dealt = spread.repartitionById(len(starts), F.col("_range"))
     window = Window.partitionBy("_range").orderBy("_guard", "_there", "_id", "_hash", "text")
     return dealt.withColumn(name, F.lead(value).over(window)).where("_guard = 0").drop("_range", "_guard", "_there", "_id", "_hash")
 
