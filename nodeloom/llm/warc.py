@@ -191,7 +191,7 @@ def write(pages: DataFrame, folder: str, roll_bytes: int | None = None, revisit_
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.lit(None).cast("long").alias("refers_to"), F.sha1(html.cast("binary")).alias("digest"), F.lit(1).alias("kind"))
     at = F.greatest(place_among(len(bounds), lambda i: F.get(numbers(bounds), i) <= F.col("page_id")), F.lit(0))
     # a page's reference sorts just before the page
-    dealt = rows.unionByName(revisits).withColumn("range", at).repartition(max(1, len(bounds)), "range").sortWithinPartitions("range", F.col("page_id").asc_nulls_first(), "kind", "url", "digest")
+    dealt = rows.unionByName(revisits).withColumn("range", at).repartitionById(max(1, len(bounds)), F.col("range")).sortWithinPartitions("range", F.col("page_id").asc_nulls_first(), "kind", "url", "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
