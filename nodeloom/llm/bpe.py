@@ -10,10 +10,11 @@ been read behind it, so the transducer holds a window of constant size however
 long a word is. Words are the units between which nothing merges; short ones
 are memoised in a table of bounded size.
 
-Decoding. ``TextDecoder`` turns ids into text through an incremental UTF-8
-automaton: bytes of an unfinished character wait for the next token, a word
-end becomes a space. ``SurfaceDecoder`` gives the tokens joined by spaces,
-which is what a tokenizer file without a decoder section stands for.
+Decoding. Ids give bytes, and an incremental UTF-8 automaton turns bytes into text as they
+come; bytes of an unfinished character wait for the next id. ``SurfaceDecoder`` takes the
+bytes of the tokens' spellings with spaces between, which is what a tokenizer file without a
+decoder section stands for; ``TextDecoder`` the bytes that the spellings mean, a word end
+becomes a space.
 
 Nulls count as empty texts (no tokens); repeated rows and ids are encoded row by
 row; other columns are ignored.
@@ -39,6 +40,7 @@ from nodeloom.llm.common import by_batch
 END = "</w>"
 #: Characters of text normalised and split at a time; a longer stretch without white space is taken whole.
 CHUNK = 1 << 16
+BLANK = re.compile("[ \\t\\n\\r]")
 #: Words kept in each worker's memo, and the longest word that may enter it.
 MEMO_WORDS, MEMO_LENGTH = 250_000, 64
 
@@ -89,6 +91,7 @@ class WordBpe:
         self.lookahead = max(sufficient_lookahead(pairs), self.longest) + self.longest
         self.text_of = {v: k for k, v in self.vocab.items()}
         self.surface = {v: k for k, v in model["vocab"].items()} | {v: k for k, v in self.special.items()}
+        self.surface_bytes = {k: v.encode("utf-8", "surrogatepass") for k, v in self.surface.items()}
         self.fits: dict[int, bool] = {}
         self.memo: dict[str, bytes] = {}
         self.bytes_to_chars = byte_alphabet()
@@ -196,11 +199,11 @@ class WordBpe:
 
     @staticmethod
     def pieces(text: str) -> Iterator[str]:
-        """Cut before a space: neither NFC nor the word pattern looks across one."""
+        """Cut before white space: neither NFC nor the word pattern looks across it."""
         at = 0
         while at < len(text):
-            to = text.find(" ", at + CHUNK)
-            to = len(text) if to < 0 else to
+            found = BLANK.search(text, at + CHUNK)
+            to = found.start() if found else len(text)
             yield text[at:to]
             at = to
 
@@ -209,18 +212,18 @@ class SurfaceDecoder:
     """Tokens as the vocabulary spells them, joined by single spaces."""
 
     def __init__(self, bpe: WordBpe):
-        self.surface, self.begun = bpe.surface, False
+        self.bytes_of, self.begun, self.state = bpe.surface_bytes, False, codecs.getincrementaldecoder("utf-8")("surrogatepass")
 
     def feed(self, packed: bytes) -> str:
         ids = array("I")
         ids.frombytes(packed)
         if not ids:
             return ""
-        text = " ".join(map(self.surface.__getitem__, ids))
+        data = b" ".join(map(self.bytes_of.__getitem__, ids))
         if self.begun:
-            text = " " + text
+            data = b" " + data
         self.begun = True
-        return text
+        return self.state.decode(data)
 
 
 class TextDecoder:
@@ -289,7 +292,7 @@ def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
             for piece in bpe.encode(text):
                 n += len(piece)
                 ids.update(piece)
-                decoded.update(decoder.feed(piece).encode())
+                decoded.update(decoder.feed(piece).encode("utf-8", "surrogatepass"))
             counts.append(n // 4)
             of_ids.append(ids.hexdigest())
             of_texts.append(decoded.hexdigest())
