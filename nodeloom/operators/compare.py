@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nodeloom.functions import text as fx
-from nodeloom.operators.shred import elements, materialise, shred, visible
+from nodeloom.operators.shred import elements, shred, visible
 
 #: metric -> substring that is counted in the lower-cased raw text, and texts that are looked for as they are (fixed values).
 SUBSTRINGS = {"h3_count": "<h3", "h4_count": "<h4", "table_count": "<table", "thead_count": "<thead", "caption_count": "<caption", "scope_col_count": 'scope="col"', "scope_row_count": 'scope="row"', "th_count": "<th", "rgb_fullwidth": "rgb（", "caption_id_count": 'id="caption'}
@@ -46,13 +46,17 @@ def common_parts(nodes: DataFrame) -> DataFrame:
 
 
 def version_metrics(versions: DataFrame, splits: tuple[str, ...] = ("previous", "current", "gold")) -> DataFrame:
-    """split, page_id, metric, value: all 18 metrics of versions (split, page_id, html). Each version of a page is parsed as a page of its own."""
+    """split, page_id, metric, value: all 18 metrics of versions (split, page_id, html).
+
+    Each version of a page is parsed as a page of its own, if its raw text holds any of the words (or a character reference) without which it has no menu and no page-top link.
+    """
     n = len(splits)
     number = F.array_position(F.array(*map(F.lit, splits)), F.col("split")) - 1
-    parts = common_parts(materialise(shred(versions.select((F.col("page_id") * n + number).alias("page_id"), "html"))))
+    may = F.lower("html").rlike("menu|メニュー|top|先頭へ|&")
+    parts = common_parts(shred(versions.where(may).select((F.col("page_id") * n + number).alias("page_id"), "html")))
     name = F.element_at(F.array(*map(F.lit, splits)), (F.pmod(F.col("page_id"), F.lit(n)) + 1).cast("int"))
     present = parts.select(name.alias("split"), F.floor(F.col("page_id") / n).cast("long").alias("page_id"), F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("menu_present", "pagetop_present")])).alias("m")).select("split", "page_id", "m.metric", "m.value")
-    # a version without a node has none of the parts
+    # the others have none of the parts
     none = versions.select("split", "page_id", F.explode(F.array(F.lit("menu_present"), F.lit("pagetop_present"))).alias("metric"), F.lit(0).cast("long").alias("value"))
     present = present.unionByName(none).groupBy("split", "page_id", "metric").agg(F.max("value").alias("value"))
     return raw_metrics(versions, ["split", "page_id"]).unionByName(present)
