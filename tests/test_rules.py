@@ -325,3 +325,31 @@ def test_reply_scanner_handles_nested_commented_and_upper_case(spark):
     found = {r.i: r for r in replies.accept(d).collect()}
     assert [found[i].reason for i in range(len(cases))] == [e for _, e in cases]
     assert found[0].html == "<table><caption>a caption that is long enough</caption><tr><td>x &amp; y</td></tr></table>" and found[6].html == "o"
+
+
+def test_captured_pages_manifest_and_results(spark, tmp_path):
+    from nodeloom.operators import process
+
+    (tmp_path / "html/sub").mkdir(parents=True)
+    (tmp_path / "html/a.html").write_text("<p>a</p>\n<p>b</p>", encoding="utf-8")
+    (tmp_path / "html/sub/b.htm").write_text("<p>c</p>", encoding="utf-8")
+    (tmp_path / "html/c.txt").write_text("no", encoding="utf-8")
+    assert {r.file_name: r.html for r in registry.read_pages(spark, f"{tmp_path}/html").collect()} == {"a.html": "<p>a</p>\n<p>b</p>", "b.htm": "<p>c</p>"}
+    (tmp_path / "manifest.json").write_text('{\n "fixture": "f",\n "cases": [{"id": "1", "required_texts": ["a", "z"]}]\n}', encoding="utf-8")
+    cases = registry.read_manifest(spark, f"{tmp_path}/manifest.json")
+    assert [(r.id, r.text, r.ok) for r in fixtures.manifest_checks(cases, "", "abc").orderBy("text").collect()] == [("1", "a", True), ("1", "z", False)]
+    done = spark.createDataFrame([(3, 10, 2, 1, 0.0)], "page_id long, tokens long, vision_tokens long, vision_calls long, cost double")
+    sheet = spark.createDataFrame([(3, *["" for _ in range(8)], "ON"), (4, *["" for _ in range(8)], "OFF")], "sheet_row long, status string, started_at string, ended_at string, total_tokens string, cost string, version string, vision_tokens string, vision_calls string, vision_flag string")
+    back = {r.sheet_row: r for r in registry.write_back(sheet, process.finished(done, sheet, "v", F.lit("s"), F.lit("e"))).collect()}
+    assert (back[3].status, back[3].total_tokens, back[3].vision_flag, back[4].status) == ("完了", "12", "ON", "")
+
+
+def test_report_order_and_urls(spark):
+    d = spark.createDataFrame([(1, "Medium", "B", 1, ""), (2, "Critical", "C", 9, ""), (1, "High", "A", None, ""), (1, "High", "B", 1, "")], "page_id long, severity string, rule_id string, line int, message string")
+    assert [(r.severity, r.page_id, r.line) for r in audit.report_order(d).collect()] == [("Critical", 2, 9), ("High", 1, None), ("High", 1, 1), ("Medium", 1, 1)]
+    from urllib.parse import urljoin
+
+    base = "http://h/a/b/c.html?q=1#g"
+    for ref in ("x", "./x", "../x?y#z", "../../../x", "/w/./y/..", "//o/p", "#f", "?z", "..", ".", "a/../b/", "mailto:x@y", "", "http://z/../k"):
+        found = spark.range(1).select(fx.absolute(F.lit(ref), F.lit(base)).alias("u")).first().u
+        assert found == (urljoin(base, ref) if ref else ""), ref
