@@ -19,7 +19,9 @@ others as abuse. A logistic model over exact, misspelled and quoted hits gives t
 score; it is fitted on the same sample.
 
 Null and empty texts have no hits and get the model's base score. Without labelled
-rows of both kinds every score is 0. Repeated rows are scored alike.
+rows of both kinds every score is 0. Repeated rows are scored alike; an empty table gives an empty
+result; other columns are ignored. Rows of the sample with equal hashes are taken in order of
+their label.
 """
 
 from __future__ import annotations
@@ -38,7 +40,8 @@ from nodeloom.llm.common import by_batch, crc_fold, cut
 
 SAMPLE_ROWS = 12_000
 LEAST_SHARE, LEAST_TEXTS, PRECISION = 0.01, 4, 0.9
-SHORTEST = 4
+#: Letters of the shortest entry, and of the longest word beginning that the fit counts (longer words enter whole).
+SHORTEST, LONGEST_BEGINNING = 4, 11
 #: Words on each side of a hit that are read for signs of quotation.
 WINDOW = 5
 MEMO_WORDS, MEMO_STATES = 200_000, 20_000
@@ -234,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         tables = {0: Counter(), 1: Counter()}
         for text, toxic in zip(*columns):
             words = set(TOKEN.findall((text or "").lower()))
-            starts = {w[:n] for w in words for n in range(SHORTEST, min(len(w), 12))}
+            starts = {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST_BEGINNING + 1))}
             tables[toxic].update(words)
             tables[toxic].update(s + BEGINNING for s in starts)
         found = [(k, n if t == 0 else 0, n if t == 1 else 0) for t, table in tables.items() for k, n in table.items()]
@@ -243,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     need = max(LEAST_TEXTS, math.ceil(LEAST_SHARE * totals[1]))
     table = by_batch(rows.select("text", "toxic"), "entry string, clean long, toxic long", count).groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     strong = table.where((F.col("toxic") >= need) & (F.col("toxic") * F.lit(totals[0] / totals[1]) >= F.lit(PRECISION / (1 - PRECISION)) * (F.col("clean") + 0.5)) & (F.col("toxic") >= F.lit(PRECISION) * (F.col("clean") + F.col("toxic"))))
-    model = Model(lexicon({r["entry"]: r["toxic"] for r in strong.collect()}), ())  # at most some hundreds: each has least_share of the toxic texts
+    model = Model(lexicon({r["entry"]: r["toxic"] for r in strong.collect()}), ())  # each is in least_share of the toxic texts, so they are at most the entries of a text over that share
     model.exact = blurred(table, model.entries)
     automaton = {}
 
