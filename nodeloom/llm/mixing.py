@@ -98,12 +98,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most_epochs: int =
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """Rows of docs as often as the mix takes them, with all their columns."""
-    of_id, of_tie, total, rows, tie, copy = fresh(docs, "_mix_id", "_mix_tie", "_mix_sum", "_mix_rows", "_row_tie", "_mix_copy")
-    times = mix(docs, **how).groupBy(F.col("doc_id").alias(of_id), F.col("tie").alias(of_tie)).agg(F.sum("times").alias(total), F.count("*").alias(rows)).where(F.col(total) > 0)
-    joined = docs.withColumn(tie, F.xxhash64("text")).join(times, F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (F.col(tie) == F.col(of_tie)))
+    """Rows of docs as often as the mix takes them, with all their columns. Texts are shuffled once; rows of one id are told apart by their texts' 64-bit hashes."""
+    known, missing, tie, total, rows, copy = fresh(docs, "_row_id", "_row_null", "_row_tie", "_mix_sum", "_mix_rows", "_mix_copy")
+    key = lambda c: {known: F.coalesce(c.cast("long"), F.lit(0)), missing: c.isNull()}
+    times = mix(docs, **how).withColumns(key(F.col("doc_id"))).groupBy(known, missing, F.col("tie").alias(tie)).agg(F.sum("times").alias(total), F.count("*").alias(rows)).where(F.col(total) > 0)
+    joined = docs.withColumns({tie: F.xxhash64("text"), **key(F.col("doc_id"))}).join(times, [known, missing, tie])
     # rows equal in id and text take their sum in turn
-    turn = F.row_number().over(Window.partitionBy("doc_id", tie).orderBy(F.col("source").asc_nulls_last()))
+    turn = F.row_number().over(Window.partitionBy(known, missing, tie).orderBy(F.col("source").asc_nulls_last()))
     own = F.floor(F.col(total) / F.col(rows)) + (turn <= F.col(total) % F.col(rows)).cast("long")
     repeated = joined.withColumn(copy, own.cast("int")).where(F.col(copy) > 0)
     return repeated.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*[F.col(f"`{c}`") for c in docs.columns])
