@@ -19,6 +19,12 @@ Null texts count as empty, empty texts get fingerprint zero and link like any
 other; equal ids with different texts are different rows of one node. Rows without an id
 link to nothing and have no component, whatever their texts; ``keep_one`` keeps them all.
 An empty table gives an empty result. Texts of any length are read whole, in blocks of shingles.
+
+``near_duplicates`` answers on fingerprints alone: components of all links. ``keep_one`` answers on texts: its fingerprints
+vote over the distinct word pairs of a text, which a changed word moves far less than its long shingles, so that
+six bits reach most texts of a similarity of 0.8; each row then proposes, in each cell, its smallest and its nearest
+earlier neighbour (a bounded number, whatever the size of a group), and a row goes only if the exact Jaccard
+similarity of its five-word shingles to a proposed one is 0.8 or more.
 """
 
 from __future__ import annotations
@@ -39,32 +45,50 @@ from nodeloom.llm.components import connected_components
 #: Points of one cell that are compared in one piece.
 CELL_ROWS = 16_384
 SEED = 42
+#: Words of a fingerprint's features, differing bits, words of a shingle and similarity of ``keep_one``.
+PAIR_WORDS, SIMILAR_BITS, SHINGLE, SIMILARITY = 2, 6, 5, 0.8
+#: Rows that are compared with one and the same text in one piece.
+COMPARED_ROWS = 2_000
 _EVEN = 0x5555555555555555
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """Majority vote over the XXH64 of word shingles, repeats included."""
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of the word shingles of a text, in blocks; fewer words than a shingle are one, none are none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters and white space only
     if not words:
-        return 0
+        return
     joined, h = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return h(joined, SEED)
+        yield np.array([h(joined, SEED)], dtype="<u8")
+        return
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     begins = np.concatenate(([0], ends[: len(words) - shingle] + 1)).tolist()
-    votes, n = np.zeros(64, np.int64), len(begins)
     ends = ends[shingle - 1 :].tolist()
-    for at in range(0, n, 65_536):
-        block = np.array([h(joined[a:b], SEED) for a, b in zip(begins[at : at + 65_536], ends[at : at + 65_536])], dtype="<u8")
+    for at in range(0, len(begins), 65_536):
+        yield np.array([h(joined[a:b], SEED) for a, b in zip(begins[at : at + 65_536], ends[at : at + 65_536])], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle: int = 4, distinct: bool = False) -> int:
+    """Majority vote over the XXH64 of word shingles, repeats included unless ``distinct``."""
+    votes, n = np.zeros(64, np.int64), 0
+    blocks = shingle_hashes(text, shingle)
+    for block in [shingle_set(text, shingle)] if distinct else blocks:
+        n += len(block)
         votes += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > n, bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(2 * votes > n, bitorder="little").tobytes(), "little") if n else 0
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Distinct hashes of a text's shingles, ascending."""
+    blocks = list(shingle_hashes(text, shingle))
+    return np.unique(np.concatenate(blocks)) if blocks else np.empty(0, "<u8")
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4, distinct: bool = False) -> DataFrame:
     """doc_id, fp long (the 64 bits, signed)."""
 
     def work(columns):
-        values = [fingerprint(t, shingle) for t in columns[1]]
+        values = [fingerprint(t, shingle, distinct) for t in columns[1]]
         return [columns[0], [v - (1 << 64) if v >> 63 else v for v in values]]
 
     return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, fp long", work)
@@ -129,8 +153,46 @@ def _links(cell: np.ndarray, fp: np.ndarray, node: np.ndarray, most: int) -> tup
     return a, b
 
 
-def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Links (a, b) that connect all fingerprints within ``most`` bits. points: distinct fp, node."""
+def _earlier(cell: np.ndarray, fp: np.ndarray, node: np.ndarray, most: int) -> tuple[list[int], list[int]]:
+    """For each point of each run of equal cells: its smallest neighbour of a smaller node, in small runs also its nearest. At most two a point."""
+    starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    sizes = np.diff(np.append(starts, len(cell)))
+    a, b = [], []
+    small = np.repeat(sizes <= 64, sizes)
+    run = np.repeat(np.arange(len(starts)), sizes)
+    later, before, bits = [], [], []
+    for k in range(1, min(64, int(sizes.max(initial=0)))):
+        i = np.flatnonzero((run[k:] == run[:-k]) & small[k:])
+        if not len(i):
+            break
+        i = i[_near(fp[i], fp[i + k], most)]
+        swap = node[i] < node[i + k]
+        later.append(np.where(swap, i + k, i))
+        before.append(np.where(swap, i, i + k))
+        bits.append(np.bitwise_count(fp[i] ^ fp[i + k]))
+    if later:
+        x, y, d = np.concatenate(later), np.concatenate(before), np.concatenate(bits)
+        for order in (np.lexsort((node[y], x)), np.lexsort((node[y], d, x))):
+            first = order[np.flatnonzero(np.concatenate(([True], x[order][1:] != x[order][:-1])))] if len(x) else order
+            a += node[x[first]].tolist()
+            b += node[y[first]].tolist()
+    for s, n in zip(starts[sizes > 64].tolist(), sizes[sizes > 64].tolist()):
+        order = np.argsort(node[s : s + n], kind="stable")
+        bits_of, ids = fp[s : s + n][order], node[s : s + n][order]
+        open_ = np.arange(1, n)  # points without an earlier neighbour so far
+        for i in range(n - 1):
+            open_ = open_[open_ > i]
+            if not len(open_):
+                break
+            hit = _near(np.broadcast_to(bits_of[i], len(open_)), bits_of[open_], most)
+            a += ids[open_[hit]].tolist()
+            b += [int(ids[i])] * int(hit.sum())
+            open_ = open_[~hit]
+    return a, b
+
+
+def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS, compare=_links) -> DataFrame:
+    """Links (a, b) that connect all fingerprints within ``most`` bits. points: distinct fp, node. compare: what a run of cells gives."""
     shared = shared_bands(points.count(), most)
     n = most + shared
     masks = _bands(n)
@@ -151,7 +213,7 @@ def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataF
         held = None
 
         def out(block):
-            a, b = _links(*block, most)
+            a, b = compare(*block, most)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
@@ -177,15 +239,50 @@ def near_duplicates(docs: DataFrame, most: int = 4, shingle: int = 4, cell_rows:
     return found.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, most: int = 4, shingle: int = 4) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates, with all its columns; of rows with one id and text, one.
+def _sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, shingles (distinct hashes) of rows."""
+    work = lambda c: [c[0], [shingle_set(t, shingle).view(np.int64) for t in c[1]]]
+    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, shingles array<long>", work)
+
+
+def similar_to_earlier(docs: DataFrame, most: int = SIMILAR_BITS, shingle: int = SHINGLE, similarity: float = SIMILARITY, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """doc_id of the documents whose shingles have at least this Jaccard similarity with those of a document of smaller id that their fingerprint proposes.
 
+    Rows without an id, and ids that stand for several texts, take no part.
+    """
+    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    narrow = cut(fingerprints(docs, PAIR_WORDS, True).where("doc_id is not null").distinct())
+    several = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(text).alias("least"), F.max(text).alias("most")).where("least <> most").select("doc_id")
+    marked = cut(narrow.join(several, "doc_id", "left_anti"))
+    points = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")))
+    found = cut(links(points, most, cell_rows, _earlier))
+    # a document meets the first of its own fingerprint and what that one's fingerprint proposes
+    by_fp = found.join(points.select(F.col("node").alias("a"), "fp", "n"), "a").select("fp", F.col("b").alias("other"), "n")
+    own = points.where("n > 1").select("fp", F.col("node").alias("other"), "n")
+    proposed = by_fp.unionByName(own).groupBy("fp").agg(F.collect_set("other").alias("others"), F.max("n").alias("n"))
+    pairs = join_split(marked, cut(proposed), "fp", marked.count()).select("doc_id", F.explode("others").alias("other")).where("other < doc_id")
+    pairs = cut(pairs)
+    pieces = cut(pairs.groupBy("other").agg(F.ceil(F.count("*") / COMPARED_ROWS).cast("int").alias("pieces")))
+    wanted = pairs.select("doc_id").unionByName(pairs.select(F.col("other").alias("doc_id"))).distinct()
+    sets = cut(_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi"), shingle).dropDuplicates(["doc_id"]))
+    # a text that very many are compared with is sent to several tasks
+    others = sets.select(F.col("doc_id").alias("other"), F.col("shingles").alias("theirs")).join(pieces, "other").select("other", "theirs", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+    dealt = pairs.join(pieces, "other").select("doc_id", "other", F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int").alias("piece"))
+    both = dealt.join(sets, "doc_id").join(others, ["other", "piece"])
+    common = F.size(F.array_intersect("shingles", "theirs"))
+    whole = F.size("shingles") + F.size("theirs") - common
+    return both.where((whole == 0) | (common >= F.lit(similarity) * whole)).select("doc_id").distinct()
+
+
+def keep_one(docs: DataFrame, most: int = SIMILAR_BITS, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """Rows of docs without those similar to an earlier document (``similar_to_earlier``), with all columns; of rows with one id and text, one.
+
+    The first document of a group of near-duplicates stays, as each that goes is similar to one of a smaller id.
     Texts are shuffled once, by id. Rows of one id are told apart by their texts' 64-bit hashes.
     """
     known, missing, nth = fresh(docs, "_row_id", "_row_null", "_nth")
-    key = lambda c: {known: F.coalesce(c.cast("long"), F.lit(0)), missing: c.isNull()}
-    stays = near_duplicates(docs, most, shingle).where("doc_id <=> component_id")
-    stays = stays.select(*[c.alias(name) for name, c in key(F.col("component_id")).items()]).distinct()
-    kept = docs.withColumns(key(F.col("doc_id"))).join(stays, [known, missing], "left_semi")
+    gone = similar_to_earlier(docs, most, shingle, similarity).select(F.col("doc_id").alias(known), F.lit(False).alias(missing))
+    keyed = docs.withColumns({known: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), missing: F.col("doc_id").isNull()})
+    kept = keyed.join(gone, [known, missing], "left_anti")
     first = F.row_number().over(Window.partitionBy(known, missing, F.xxhash64("text")).orderBy("doc_id"))
     return kept.withColumn(nth, first).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

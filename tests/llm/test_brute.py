@@ -95,6 +95,30 @@ def test_rows_without_id_have_no_component(spark):
     assert sorted((r.doc_id or 0) for r in simhash.keep_one(d).collect()) == [0, 0, 5]
 
 
+def test_keep_one_drops_similar_texts_only(spark):
+    rng = random.Random(28)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    rows = []
+    for g in range(60):
+        base = [word() for _ in range(rng.randint(40, 400))]
+        rows.append(base)
+        for _ in range(rng.choice((0, 1, 3, 12))):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                copy[rng.randrange(len(copy))] = word()
+            rows.append(copy)
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)] + [(9000, ""), (9001, " "), (9002, None), (9003, "one two"), (9004, "ONE two"), (9005, "same id"), (9005, "other text"), (None, "one two")]
+    sets = {(i, t): set(simhash.shingle_set(t, 5).tolist()) for i, t in rows}
+    near = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    usual = sorted((k for k in sets if k[0] is not None and k[0] != 9005), key=lambda k: k[0])
+    similar = {k for n, k in enumerate(usual) if any(near(sets[k], sets[j]) for j in usual[:n])}
+    for cell_rows in (10_000, 30):
+        gone = {r.doc_id for r in simhash.similar_to_earlier(texts(spark, rows), cell_rows=cell_rows).collect()}
+        assert gone <= {i for i, _ in similar} and len(gone) >= 0.8 * len(similar)  # nothing but similar texts goes, and most of them do
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(texts(spark, rows + rows[:1])).collect()]
+    assert sorted(map(str, kept)) == sorted(str((i, t)) for i, t in rows if i not in gone)
+
+
 def test_hub_components(spark):
     rng = random.Random(23)
     links = [(0, i) for i in range(1, 4000)] + [(10_000 + i, 10_001 + i) for i in range(50)] + [(rng.randrange(20_000, 21_000), rng.randrange(20_000, 21_000)) for _ in range(600)]

@@ -25,18 +25,12 @@ def brute(spark):
         if k not in best or best[k]["doc_id"] < d["doc_id"]:
             best[k] = d
     docs = list(best.values())
-    fp = [simhash.fingerprint(d["text"]) for d in docs]
-    label = list(range(len(docs)))
-    for i in range(len(docs)):
-        for j in range(i):
-            if (fp[i] ^ fp[j]).bit_count() <= 4 and label[i] != label[j]:
-                a, b = sorted((label[i], label[j]))
-                label = [a if x == b else x for x in label]
-    stay = {}
-    for d, k in zip(docs, label):
-        if k not in stay or d["doc_id"] < stay[k]["doc_id"]:
-            stay[k] = d
-    docs = list(stay.values())
+    fp = [simhash.fingerprint(d["text"], 2, True) for d in docs]
+    sets = [set(simhash.shingle_set(d["text"], 5).tolist()) for d in docs]
+    order = sorted(range(len(docs)), key=lambda i: docs[i]["doc_id"])
+    # every earlier neighbour is tried here; the operator proposes some of them in each cell
+    gone = {i for k, i in enumerate(order) for j in order[:k] if (fp[i] ^ fp[j]).bit_count() <= 6 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    docs = [d for i, d in enumerate(docs) if i not in gone]
     out = []
     size = {d["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", d["text"])) for d in docs}
     sources = sorted({d["source"] for d in docs})
