@@ -22,13 +22,16 @@ An empty table gives an empty result. Texts of any length are read whole, in blo
 
 ``near_duplicates`` answers on fingerprints alone: components of all links. ``keep_one`` answers on texts: its fingerprints
 vote over the distinct word pairs of a text, which a changed word moves far less than its long shingles, so that
-six bits reach most texts of a similarity of 0.8; each row then proposes, in each cell, its smallest and its nearest
-earlier neighbour (a bounded number, whatever the size of a group), and a row goes only if the exact Jaccard
-similarity of its five-word shingles to a proposed one is 0.8 or more.
+six bits reach most texts of a similarity of 0.8. Texts of the same words are one; their links within six bits make
+groups, and within a group every two texts in range are compared: a row goes if and only if the exact Jaccard
+similarity of its five-word shingles to those of some text of a smaller id within six bits is 0.8 or more. No
+candidate is passed over: pairs are met inside the tasks, where a large group is split into blocks and each pair of
+blocks is a piece of work of its own, so no row is made for each pair.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from itertools import combinations
@@ -39,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nodeloom.llm.common import by_batch, cut, fresh, join_split
+from nodeloom.llm.common import bound_batches, by_batch, cut, fresh, join_split
 from nodeloom.llm.components import connected_components
 
 #: Points of one cell that are compared in one piece.
@@ -47,8 +50,8 @@ CELL_ROWS = 16_384
 SEED = 42
 #: Words of a fingerprint's features, differing bits, words of a shingle and similarity of ``keep_one``.
 PAIR_WORDS, SIMILAR_BITS, SHINGLE, SIMILARITY = 2, 6, 5, 0.8
-#: Rows that are compared with one and the same text in one piece.
-COMPARED_ROWS = 2_000
+#: Texts and shingles of a block, two of which are compared in one piece.
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 20
 _EVEN = 0x5555555555555555
 
 
@@ -153,46 +156,8 @@ def _links(cell: np.ndarray, fp: np.ndarray, node: np.ndarray, most: int) -> tup
     return a, b
 
 
-def _earlier(cell: np.ndarray, fp: np.ndarray, node: np.ndarray, most: int) -> tuple[list[int], list[int]]:
-    """For each point of each run of equal cells: its smallest neighbour of a smaller node, in small runs also its nearest. At most two a point."""
-    starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-    sizes = np.diff(np.append(starts, len(cell)))
-    a, b = [], []
-    small = np.repeat(sizes <= 64, sizes)
-    run = np.repeat(np.arange(len(starts)), sizes)
-    later, before, bits = [], [], []
-    for k in range(1, min(64, int(sizes.max(initial=0)))):
-        i = np.flatnonzero((run[k:] == run[:-k]) & small[k:])
-        if not len(i):
-            break
-        i = i[_near(fp[i], fp[i + k], most)]
-        swap = node[i] < node[i + k]
-        later.append(np.where(swap, i + k, i))
-        before.append(np.where(swap, i, i + k))
-        bits.append(np.bitwise_count(fp[i] ^ fp[i + k]))
-    if later:
-        x, y, d = np.concatenate(later), np.concatenate(before), np.concatenate(bits)
-        for order in (np.lexsort((node[y], x)), np.lexsort((node[y], d, x))):
-            first = order[np.flatnonzero(np.concatenate(([True], x[order][1:] != x[order][:-1])))] if len(x) else order
-            a += node[x[first]].tolist()
-            b += node[y[first]].tolist()
-    for s, n in zip(starts[sizes > 64].tolist(), sizes[sizes > 64].tolist()):
-        order = np.argsort(node[s : s + n], kind="stable")
-        bits_of, ids = fp[s : s + n][order], node[s : s + n][order]
-        open_ = np.arange(1, n)  # points without an earlier neighbour so far
-        for i in range(n - 1):
-            open_ = open_[open_ > i]
-            if not len(open_):
-                break
-            hit = _near(np.broadcast_to(bits_of[i], len(open_)), bits_of[open_], most)
-            a += ids[open_[hit]].tolist()
-            b += [int(ids[i])] * int(hit.sum())
-            open_ = open_[~hit]
-    return a, b
-
-
-def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS, compare=_links) -> DataFrame:
-    """Links (a, b) that connect all fingerprints within ``most`` bits. points: distinct fp, node. compare: what a run of cells gives."""
+def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Links (a, b) that connect all fingerprints within ``most`` bits. points: distinct fp, node."""
     shared = shared_bands(points.count(), most)
     n = most + shared
     masks = _bands(n)
@@ -213,7 +178,7 @@ def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS, compare=
         held = None
 
         def out(block):
-            a, b = compare(*block, most)
+            a, b = _links(*block, most)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
@@ -239,50 +204,125 @@ def near_duplicates(docs: DataFrame, most: int = 4, shingle: int = 4, cell_rows:
     return found.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, shingles (distinct hashes) of rows."""
-    work = lambda c: [c[0], [shingle_set(t, shingle).view(np.int64) for t in c[1]]]
-    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id long, shingles array<long>", work)
+def _marks(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash (which tells texts of one id apart), fp, words (a digest of the lower-cased words) of the rows with an id."""
+
+    def work(columns):
+        values = [fingerprint(t, PAIR_WORDS, True) for t in columns[2]]
+        words = [hashlib.blake2b(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split()), digest_size=16).digest() for t in columns[2]]
+        return [columns[0], columns[1], [v - (1 << 64) if v >> 63 else v for v in values], words]
+
+    return by_batch(_known(docs), "doc_id long, text_hash long, fp long, words binary", work)
+
+
+def _known(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, text of the rows with an id."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").where("doc_id is not null")
+
+
+def _sets(members: DataFrame, shingle: int) -> DataFrame:
+    """group, node, text_hash, fp and, in place of text, shingles (distinct hashes)."""
+    work = lambda c: [*c[:4], [shingle_set(t, shingle).view(np.int64) for t in c[4]]]
+    return by_batch(members.select("group", "node", "text_hash", "fp", "text"), "group long, node long, text_hash long, fp long, shingles array<long>", work)
+
+
+def _similar(node: np.ndarray, fp: np.ndarray, own: np.ndarray | None, ends: np.ndarray, shingles: np.ndarray, most: int, similarity: float) -> list[int]:
+    """Places of the texts that are similar to a text of a smaller node; shingles ends[i] to ends[i + 1] are those of text i. own: blocks; given them, texts of one block are not compared."""
+    sizes, found = np.diff(ends), []
+    held, shingles = np.unique(shingles, return_inverse=True)
+    mark = np.zeros(len(held), bool)
+    for x in range(len(node)):
+        bits = np.bitwise_count(fp ^ fp[x])
+        near = (node < node[x]) & (bits <= most) & (np.minimum(sizes, sizes[x]) >= similarity * np.maximum(sizes, sizes[x]))
+        if own is not None:
+            near &= own != own[x]
+        near = np.flatnonzero(near)
+        if not len(near):
+            continue
+        if not sizes[x]:  # only empty ones are near in size, and they are equal
+            found.append(x)
+            continue
+        near = near[np.argsort(bits[near], kind="stable")]
+        mark[shingles[ends[x] : ends[x + 1]]] = True
+        for at, to in [(0, 8), *((k, k + 256) for k in range(8, len(near), 256))]:  # the nearest first, then all others
+            part = near[at:to]
+            both = np.concatenate([shingles[ends[y] : ends[y + 1]] for y in part.tolist()])
+            common = np.add.reduceat(mark[both], np.cumsum(sizes[part]) - sizes[part], dtype=np.int64)
+            if (common >= similarity * (sizes[part] + sizes[x] - common)).any():
+                found.append(x)
+                break
+        mark[shingles[ends[x] : ends[x + 1]]] = False
+    return found
+
+
+def _compare(sets: DataFrame, most: int, similarity: float, block_rows: int) -> DataFrame:
+    """node, text_hash of the texts that are similar to one of a smaller node of their group. A group of many texts or shingles is split into blocks, and each pair of blocks is compared in one piece."""
+    size, count = F.sum(F.size("shingles")), F.count("*")
+    blocks = F.ceil(F.greatest(size / BLOCK_SHINGLES, F.least(count / block_rows, F.greatest(F.lit(16.0), count / (16 * block_rows))))).cast("int")
+    large = cut(sets.groupBy("group").agg(blocks.alias("blocks")).where("blocks > 1"))
+    large = F.broadcast(large) if large.count() <= 100_000 else large
+    own = F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", "text_hash"), F.col("blocks")).cast("int"))
+    pieces = F.transform(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1), lambda j: F.struct(F.least("own", j).alias("low"), F.greatest("own", j).alias("high")))
+    dealt = sets.join(large, "group", "left").withColumn("own", own).withColumn("piece", F.explode(pieces))
+    dealt = dealt.select("group", "piece.low", "piece.high", "own", "node", "text_hash", "fp", "shingles").repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            columns = [np.concatenate([p.column(k).to_numpy() for p in parts]) for k in range(1, 7)]
+            low, high, own, node, text_hash, fp = columns
+            sizes = np.concatenate([p.column(7).value_lengths().to_numpy(zero_copy_only=False) for p in parts]).astype(np.int64)
+            shingles = np.concatenate([p.column(7).flatten().to_numpy() for p in parts])
+            gone = _similar(node, fp.view(np.uint64), own if low[0] != high[0] else None, np.concatenate(([0], np.cumsum(sizes))), shingles, most, similarity)
+            return pa.RecordBatch.from_arrays([pa.array(node[gone], pa.int64()), pa.array(text_hash[gone], pa.int64())], names=["node", "text_hash"])
 
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+            starts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(starts, starts[1:]):
+                if held and [held[0].column(k)[0].as_py() for k in range(3)] != key[:, a].tolist():
+                    yield out(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield out(held)
 
-def similar_to_earlier(docs: DataFrame, most: int = SIMILAR_BITS, shingle: int = SHINGLE, similarity: float = SIMILARITY, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """doc_id of the documents whose shingles have at least this Jaccard similarity with those of a document of smaller id that their fingerprint proposes.
+    bound_batches(sets.sparkSession)
+    return dealt.mapInArrow(run, "node long, text_hash long").distinct()
 
-    Rows without an id, and ids that stand for several texts, take no part.
+
+def similar_to_earlier(docs: DataFrame, most: int = SIMILAR_BITS, shingle: int = SHINGLE, similarity: float = SIMILARITY, cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """doc_id, text_hash of the rows whose shingles have at least this Jaccard similarity with those of any row of a smaller id whose fingerprint differs in at most ``most`` bits.
+
+    Rows without an id take no part. Rows of one id are told apart by the hash of their texts.
     """
-    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    narrow = cut(fingerprints(docs, PAIR_WORDS, True).where("doc_id is not null").distinct())
-    several = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(text).alias("least"), F.max(text).alias("most")).where("least <> most").select("doc_id")
-    marked = cut(narrow.join(several, "doc_id", "left_anti"))
-    points = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")))
-    found = cut(links(points, most, cell_rows, _earlier))
-    # a document meets the first of its own fingerprint and what that one's fingerprint proposes
-    by_fp = found.join(points.select(F.col("node").alias("a"), "fp", "n"), "a").select("fp", F.col("b").alias("other"), "n")
-    own = points.where("n > 1").select("fp", F.col("node").alias("other"), "n")
-    proposed = by_fp.unionByName(own).groupBy("fp").agg(F.collect_set("other").alias("others"), F.max("n").alias("n"))
-    pairs = join_split(marked, cut(proposed), "fp", marked.count()).select("doc_id", F.explode("others").alias("other")).where("other < doc_id")
-    pairs = cut(pairs)
-    pieces = cut(pairs.groupBy("other").agg(F.ceil(F.count("*") / COMPARED_ROWS).cast("int").alias("pieces")))
-    wanted = pairs.select("doc_id").unionByName(pairs.select(F.col("other").alias("doc_id"))).distinct()
-    sets = cut(_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi"), shingle).dropDuplicates(["doc_id"]))
-    # a text that very many are compared with is sent to several tasks
-    others = sets.select(F.col("doc_id").alias("other"), F.col("shingles").alias("theirs")).join(pieces, "other").select("other", "theirs", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-    dealt = pairs.join(pieces, "other").select("doc_id", "other", F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int").alias("piece"))
-    both = dealt.join(sets, "doc_id").join(others, ["other", "piece"])
-    common = F.size(F.array_intersect("shingles", "theirs"))
-    whole = F.size("shingles") + F.size("theirs") - common
-    return both.where((whole == 0) | (common >= F.lit(similarity) * whole)).select("doc_id").distinct()
+    marked = cut(_marks(docs))
+    first = F.min(F.struct("doc_id", "text_hash"))
+    texts = cut(marked.groupBy("words").agg(first.alias("first"), F.first("fp").alias("fp"), F.count("*").alias("n")).select("words", "first.*", "fp", "n").withColumnRenamed("doc_id", "node"))
+    points = cut(texts.groupBy("fp").agg(F.count("*").alias("n")))
+    groups = connected_components(links(points.select("fp", F.col("fp").alias("node")), most, cell_rows))
+    groups = points.join(groups, points.fp == groups.node, "left").where("component is not null or n > 1").select("fp", F.coalesce("component", "fp").alias("group"), "n")
+    members = cut(join_split(texts.select("node", "text_hash", "fp"), cut(groups), "fp", texts.count()))
+    whole = _known(docs).withColumnRenamed("doc_id", "node").join(members, ["node", "text_hash"]).dropDuplicates(["node", "text_hash"])
+    gone = cut(_compare(cut(_sets(whole, shingle)), most, similarity, block_rows))
+    # of texts with the same words all but the first go, and with the first all
+    settled = texts.join(gone.withColumn("gone", F.lit(True)), ["node", "text_hash"], "left").where("gone or n > 1")
+    rows = join_split(marked.select("doc_id", "text_hash", "words"), cut(settled.select("words", "node", "gone", "n")), "words", marked.count())
+    return rows.where("gone or doc_id > node").select("doc_id", "text_hash").distinct()
 
 
 def keep_one(docs: DataFrame, most: int = SIMILAR_BITS, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """Rows of docs without those similar to an earlier document (``similar_to_earlier``), with all columns; of rows with one id and text, one.
 
     The first document of a group of near-duplicates stays, as each that goes is similar to one of a smaller id.
-    Texts are shuffled once, by id. Rows of one id are told apart by their texts' 64-bit hashes.
+    Texts are shuffled once, by id and text. Rows of one id are told apart by their texts' 64-bit hashes.
     """
-    known, missing, nth = fresh(docs, "_row_id", "_row_null", "_nth")
-    gone = similar_to_earlier(docs, most, shingle, similarity).select(F.col("doc_id").alias(known), F.lit(False).alias(missing))
-    keyed = docs.withColumns({known: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), missing: F.col("doc_id").isNull()})
-    kept = keyed.join(gone, [known, missing], "left_anti")
-    first = F.row_number().over(Window.partitionBy(known, missing, F.xxhash64("text")).orderBy("doc_id"))
+    known, missing, hashed, nth = fresh(docs, "_row_id", "_row_null", "_row_text", "_nth")
+    gone = similar_to_earlier(docs, most, shingle, similarity).select(F.col("doc_id").alias(known), F.lit(False).alias(missing), F.col("text_hash").alias(hashed))
+    keyed = docs.withColumns({known: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), missing: F.col("doc_id").isNull(), hashed: F.xxhash64("text")})
+    kept = keyed.join(gone, [known, missing, hashed], "left_anti")
+    first = F.row_number().over(Window.partitionBy(known, missing, hashed).orderBy("doc_id"))
     return kept.withColumn(nth, first).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -5,6 +5,7 @@ import random
 import re
 import struct
 import time
+from collections import Counter
 
 import pytest
 import xxhash
@@ -119,6 +120,35 @@ def test_keep_one_drops_similar_texts_only(spark):
     assert sorted(map(str, kept)) == sorted(str((i, t)) for i, t in rows if i not in gone)
 
 
+@pytest.mark.parametrize("cell_rows, block_rows", [(10_000, 256), (40, 6)])
+def test_similar_to_earlier_tries_every_candidate(spark, cell_rows, block_rows):
+    """Near copies whose similarity among each other lies about 0.8: the smallest and the nearest neighbours are often not similar, others are."""
+    rng = random.Random(31)
+    rows = [(20_000, ""), (20_001, " "), (20_002, None)]
+    for g, (size, copies, changes) in enumerate([(150, 160, 14), (900, 40, 25), (40, 30, 2)]):
+        base = [f"w{rng.randrange(4000)}" for _ in range(size)]
+        for i in range(copies):
+            copy = list(base)
+            for _ in range(rng.randint(0, changes)):
+                copy[rng.randrange(size)] = f"x{rng.randrange(4000)}"
+            rows.append((1000 * g + i, " ".join(copy)))
+            if i % 9 == 0:  # the same words again, under a later and under the same id
+                rows += [(1000 * g + 500 + i, "  ".join(copy).upper()), (1000 * g + i, "\t".join(copy))]
+            if i % 7 == 0:  # another text under the same id
+                rows.append((1000 * g + i, " ".join(reversed(copy))))
+    rows += rows[:40] + [(None, rows[5][1])]
+    fp = {t: simhash.fingerprint(t, 2, True) for _, t in rows}
+    sets = {t: set(simhash.shingle_set(t, 5).tolist()) for _, t in rows}
+    near = lambda t, u: (fp[t] ^ fp[u]).bit_count() <= 6 and len(sets[t] & sets[u]) >= 0.8 * len(sets[t] | sets[u])
+    known = [r for r in set(rows) if r[0] is not None]
+    gone = {(i, t) for i, t in known if any(j < i and near(t, u) for j, u in known)}
+    hashes = {(r.doc_id, r.h): r.text for r in texts(spark, rows).select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    found = simhash.similar_to_earlier(texts(spark, rows), cell_rows=cell_rows, block_rows=block_rows).collect()
+    assert len(found) == len(gone) and {(r.doc_id, hashes[r.doc_id, r.text_hash]) for r in found} == gone
+    kept = Counter((r.doc_id, r.text) for r in simhash.keep_one(texts(spark, rows)).collect())
+    assert kept == Counter(set(rows) - gone)
+
+
 def test_hub_components(spark):
     rng = random.Random(23)
     links = [(0, i) for i in range(1, 4000)] + [(10_000 + i, 10_001 + i) for i in range(50)] + [(rng.randrange(20_000, 21_000), rng.randrange(20_000, 21_000)) for _ in range(600)]
