@@ -12,7 +12,8 @@ the bits.
 
 Rows of a cell are compared in sorted runs with vectorised arithmetic, and only
 a spanning forest of a run's links leaves the task: components keep every link's
-effect, but no group emits all its pairs. A cell with more points than
+effect, but no group emits all its pairs. A link of the forest whose ends share an
+earlier cell too is left to that one. A cell with more points than
 ``cell_rows`` is split into blocks, and each pair of blocks is a cell of its own.
 
 Null texts count as empty, empty texts get fingerprint zero and link like any
@@ -118,10 +119,16 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _counts(x: np.ndarray) -> np.ndarray:
+    """``embed`` of an array."""
+    even = np.uint64(_EVEN)
+    return (x & even) + (x >> np.uint64(1) & even)
+
+
 def _near(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
     """Pairs in Manhattan range of their embeddings and, verified, in Hamming range."""
     even = np.uint64(_EVEN)
-    p, q = (x & even) + (x >> np.uint64(1) & even), (y & even) + (y >> np.uint64(1) & even)
+    p, q = _counts(x), _counts(y)
     # per-segment |p - q| is 0, 1 or 2: equal parity leaves only the high bit to differ
     odd, high = (p ^ q) & even, (p ^ q) >> np.uint64(1) & even
     distance = np.bitwise_count(odd) + 2 * np.bitwise_count(high & ~odd)
@@ -130,30 +137,56 @@ def _near(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
     return near
 
 
-def _links(cell: np.ndarray, fp: np.ndarray, node: np.ndarray, most: int) -> tuple[list[int], list[int]]:
-    """Spanning links within each run of equal cells (rows sorted by cell, repeats removed)."""
-    starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-    sizes = np.diff(np.append(starts, len(cell)))
-    a, b = [], []
+def _joins(run: np.ndarray, fp: np.ndarray, most: int) -> np.ndarray:
+    """Places (i, j) of links that span what is linked within each run (rows of one run stand side by side)."""
+    starts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
+    sizes = np.diff(np.append(starts, len(run)))
     small = np.repeat(sizes <= 64, sizes)
-    run = np.repeat(np.arange(len(starts)), sizes)
-    for k in range(1, min(64, int(sizes.max(initial=0)))):  # all pairs of small runs, by their distance in the run
+    joins, root = [], np.arange(len(run))
+    for k in range(1, min(64, int(sizes.max(initial=0)))):  # pairs of small runs, by their distance in the run
         i = np.flatnonzero((run[k:] == run[:-k]) & small[k:])
         if not len(i):
             break
-        i = i[_near(fp[i], fp[i + k], most)]
-        a += node[i].tolist()
-        b += node[i + k].tolist()
+        i = i[root[i] != root[i + k]]  # what is in one group already needs no further link
+        i, before = i[_near(fp[i], fp[i + k], most)], len(joins)
+        for x in i.tolist():
+            a, b = x, x + k
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                joins.append((x, x + k))
+        while len(joins) > before and (root[root] != root).any():
+            root = root[root]
     for s, n in zip(starts[sizes > 64].tolist(), sizes[sizes > 64].tolist()):
-        x, ids, group = fp[s : s + n], node[s : s + n].tolist(), np.arange(n)
+        x, group = fp[s : s + n], np.arange(n)
         for i in range(n - 1):
-            other = np.flatnonzero(group[i + 1 :] != group[i]) + i + 1  # what is in one group already needs no further link
+            other = np.flatnonzero(group[i + 1 :] != group[i]) + i + 1
             other = other[_near(np.broadcast_to(x[i], len(other)), x[other], most)]
             for g, j in zip(*(v.tolist() for v in np.unique(group[other], return_index=True))):
-                a.append(ids[i])
-                b.append(ids[int(other[j])])
+                joins.append((s + i, s + int(other[j])))
                 group[group == g] = group[i]
-    return a, b
+    return np.array(joins, np.int64).reshape(-1, 2).T
+
+
+def _links(cell: np.ndarray, kind: np.ndarray, own: np.ndarray, fp: np.ndarray, node: np.ndarray, most: int, shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that, with those of the other runs, connect what is linked within each run of equal cells and kinds (sorted rows).
+
+    Every link is followed. It is returned by the first run that its two points share: what a cell of an earlier kind
+    connects, or the piece of one block alone (own is -1 there, the point's block in the pieces of two), is left to that one.
+    """
+    n = most + shared
+    masks, kinds = np.array(_bands(n), np.uint64), list(combinations(range(n), shared))
+    inside = np.array([[b in c for b in range(n)] for c in kinds])
+    earlier = np.array([[b < c[-1] and b not in c for b in range(n)] for c in kinds])
+    new = (cell[1:] != cell[:-1]) | (kind[1:] != kind[:-1])
+    i, j = _joins(np.concatenate(([0], np.cumsum(new))), fp, most)
+    agree = ((_counts(fp[i]) ^ _counts(fp[j]))[:, None] & masks) == 0
+    elsewhere = (agree & earlier[kind[i]]).any(axis=1) | (own[i] >= 0) & (own[i] == own[j])
+    mine = ~(elsewhere & (agree | ~inside[kind[i]]).all(axis=1))
+    return node[i[mine]], node[j[mine]]
 
 
 def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -163,26 +196,28 @@ def links(points: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataF
     masks = _bands(n)
     point = points.where("node is not null").select("fp", "node", embed(F.col("fp")).alias("p"))
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.xxhash64(F.lit(k), F.col("p").bitwiseAND(F.lit(_signed(sum(masks[i] for i in c))))).alias("cell")) for k, c in enumerate(combinations(range(n), shared))])
-    cells = point.select("fp", "node", F.explode(kinds).alias("c")).select(F.col("c.cell").alias("cell"), "fp", "node")
+    cells = point.select("fp", "node", F.explode(kinds).alias("c")).select("c.cell", "c.kind", F.lit(-1).alias("own"), "fp", "node")
     hot = cells.groupBy("cell").count().where(F.col("count") > cell_rows).select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks"))
     hot = cut(hot)
     count = hot.count()
     if count:
         hot = F.broadcast(hot) if count <= 100_000 else hot
         own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("blocks")).cast("int")
-        spread = F.when(F.col("blocks").isNull(), F.array("cell")).otherwise(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.xxhash64("cell", F.least(own, j), F.greatest(own, j))))
-        cells = cells.join(hot, "cell", "left").select(F.explode(spread).alias("cell"), "fp", "node")
-    dealt = cells.repartition("cell").sortWithinPartitions("cell", "fp")
+        piece = lambda j: F.struct(F.xxhash64("cell", F.least(own, j), F.greatest(own, j)).alias("cell"), F.when(own == j, -1).otherwise(own).alias("own"))
+        spread = F.when(F.col("blocks").isNull(), F.array(F.struct("cell", "own"))).otherwise(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), piece))
+        cells = cells.join(hot, "cell", "left").select(F.explode(spread).alias("c"), "kind", "fp", "node").select("c.cell", "kind", "c.own", "fp", "node")
+    dealt = cells.repartition("cell").sortWithinPartitions("cell", "kind", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
 
         def out(block):
-            a, b = _links(*block, most)
+            cell, kind, own, fp, node = block
+            a, b = _links(cell, kind, own, fp.view(np.uint64), node, most, shared)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            now = [batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()]
+            now = [batch.column(k).to_numpy() for k in range(5)]
             held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
             whole = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
             if whole:

@@ -120,6 +120,35 @@ def test_simhash_components(spark):
         assert [found.get(i, i) for i in range(len(fps))] == label
 
 
+@pytest.mark.parametrize("size, cell_rows", [(60, 10_000), (300, 10_000), (60, 20)])
+def test_simhash_links_grow_with_the_points(spark, size, cell_rows):
+    """Two groups of near fingerprints: their links connect what all pairs connect, and are a few a point, not a number a pair."""
+    rng = random.Random(33)
+    fps = set()
+    for centre in (rng.getrandbits(64), rng.getrandbits(64)):
+        group = {centre}
+        while len(group) < size:
+            x = rng.choice(sorted(group)) if rng.random() < 0.1 else centre
+            for _ in range(rng.randint(1, 3)):
+                x ^= 1 << rng.randrange(64)
+            group.add(x)
+        fps |= group
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    label = list(range(len(fps)))
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 6 and label[i] != label[j]:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    points = spark.createDataFrame(list(zip(signed, range(len(fps)))), "fp long, node long")
+    found = simhash.links(points, 6, cell_rows).cache()
+    pairs = [(r.a, r.b) for r in found.collect()]
+    assert all((fps[a] ^ fps[b]).bit_count() <= 6 for a, b in pairs) and len(pairs) <= 6 * len(fps)
+    components = {r.node: r.component for r in connected_components(found).collect()}
+    assert [components.get(i, i) for i in range(len(fps))] == label
+
+
 def test_simhash_embedding_is_a_lower_bound(spark):
     rng = random.Random(4)
     rows = [(rng.getrandbits(63), rng.getrandbits(63)) for _ in range(50)]
