@@ -26,10 +26,10 @@ def links(nodes: DataFrame) -> DataFrame:
     return elements(nodes, "a").select("page_id", "pre", "post_end", "parent", F.coalesce(F.col("attrs")["href"], F.lit("")).alias("href"), F.coalesce("text", F.lit("")).alias("label"))
 
 
-def caption_missing(nodes: DataFrame) -> DataFrame:
-    any_heading = previous_heading(nodes, ("h1", "h2", "h3", "h4", "h5", "h6"), blank=True)
+def caption_missing(nodes: DataFrame, outline: DataFrame | None = None) -> DataFrame:
+    any_heading = previous_heading(nodes if outline is None else outline, ("h1", "h2", "h3", "h4", "h5", "h6"), blank=True)
     f = features(nodes).join(any_heading, ["page_id", "table"], "left").withColumn("pre", F.col("table"))
-    return _finding(f.where("captions = 0 or coalesce(trim(caption), '') = ''"), "HTML-R-15", F.lit("caption missing"), F.substring(F.coalesce("heading", F.lit("")), 1, 80))
+    return _finding(f.where("captions = 0 or caption_blank"), "HTML-R-15", F.lit("caption missing"), F.substring(F.coalesce("heading", F.lit("")), 1, 80))
 
 
 def merged_cells(nodes: DataFrame) -> DataFrame:
