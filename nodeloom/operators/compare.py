@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,41 +28,74 @@ def _caption_ids(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit("(?i)id=[\"'](caption[^\"']*)[\"']"), F.lit(1))
 
 
-def raw_metrics(pages: DataFrame, keys: list[str], phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """keys, metric, value: substring counts whatever their case, 0 or 1 for phrases and a footer, ids of captions that are used again."""
+def _raw_values(phrases: dict[str, str] = PHRASES) -> dict[str, Column]:
+    """metric -> value of ``html``: substring counts whatever their case, 0 or 1 for phrases and a footer, ids of captions that are used again."""
     low = F.lower("html")
-    value = lambda m, v: F.struct(F.lit(m).alias("metric"), v.cast("long").alias("value"))
-    counts = [value(m, (F.length(low) - F.length(F.replace(low, F.lit(s), F.lit("")))) / len(s)) for m, s in SUBSTRINGS.items()]
-    counts += [value(m, F.contains("html", F.lit(p))) for m, p in phrases.items()]
-    counts += [value("footer_present", F.contains(low, F.lit("<footer"))), value("caption_id_duplicates", F.size(_caption_ids(F.col("html"))) - F.size(F.array_distinct(_caption_ids(F.col("html")))))]
-    return pages.withColumn("html", F.coalesce("html", F.lit(""))).select(*keys, F.explode(F.array(*counts)).alias("m")).select(*keys, "m.metric", "m.value")
+    out = {m: (F.length(low) - F.length(F.replace(low, F.lit(s), F.lit("")))) / len(s) for m, s in SUBSTRINGS.items()}
+    out |= {m: F.contains("html", F.lit(p)) for m, p in phrases.items()}
+    out |= {"footer_present": F.contains(low, F.lit("<footer")), "caption_id_duplicates": F.size(_caption_ids(F.col("html"))) - F.size(F.array_distinct(_caption_ids(F.col("html"))))}
+    return {m: v.cast("long") for m, v in out.items()}
+
+
+def _long(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """keys, metric, value of columns of values."""
+    table = F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in values.items()])
+    return df.select(*keys, F.explode(table).alias("m")).select(*keys, "m.metric", "m.value")
+
+
+def raw_metrics(pages: DataFrame, keys: list[str], phrases: dict[str, str] = PHRASES) -> DataFrame:
+    """keys, metric, value of the metrics of the raw text."""
+    return _long(pages.withColumn("html", F.coalesce("html", F.lit(""))), keys, _raw_values(phrases))
+
+
+#: What common_parts reads of nodes, and of which.
+PARTS, SIGNS = ("page_id", "kind", "tag", "attrs", "text", "up"), "signs"
 
 
 def common_parts(nodes: DataFrame) -> DataFrame:
     """page_id, menu_present, pagetop_present, footer_present from ids, classes, targets, labels and the texts outside head, script, style and title."""
-    attrs = F.transform(F.array(*[F.col("attrs")[a] for a in ("id", "class", "href", "aria-label")]), lambda v: F.lower(F.trim(F.coalesce(v, F.lit("")))))
-    named = lambda pattern: F.coalesce((F.col("kind") == "element") & F.exists(attrs, lambda v: v.rlike(pattern)), F.lit(False))
+    element = F.col("kind") == "element"
+    named = lambda pattern: reduce(or_, [F.coalesce(element & F.lower(F.trim(F.col("attrs")[a])).rlike(pattern), F.lit(False)) for a in ("id", "class", "href", "aria-label")])
     said = F.when((F.col("kind") == "text") & ~F.arrays_overlap("up", F.array(*map(F.lit, ("head", "script", "style", "title")))), F.lower(fx.collapse(F.col("text"))))
     any_ = lambda c: F.coalesce(F.max(c.cast("long")), F.lit(0))
-    texts = lambda values: F.coalesce(said.isin(*values), F.lit(False))
-    return nodes.groupBy("page_id").agg(any_(named(MENU) | texts(MENU_TEXTS)).alias("menu_present"), any_(named(PAGETOP) | texts(PAGETOP_TEXTS)).alias("pagetop_present"), any_(F.coalesce(F.col("tag") == "footer", F.lit(False))).alias("footer_present"))
+    texts = lambda values: F.coalesce(F.col("said").isin(*values), F.lit(False))
+    return nodes.withColumn("said", said).groupBy("page_id").agg(any_(named(MENU) | texts(MENU_TEXTS)).alias("menu_present"), any_(named(PAGETOP) | texts(PAGETOP_TEXTS)).alias("pagetop_present"), any_(F.coalesce(F.col("tag") == "footer", F.lit(False))).alias("footer_present"))
+
+
+SPLITS = ("previous", "current", "gold")
+#: All 18 metrics of a version.
+METRICS = (*SUBSTRINGS, *PHRASES, "footer_present", "caption_id_duplicates", "menu_present", "pagetop_present")
 
 
-def version_metrics(versions: DataFrame, splits: tuple[str, ...] = ("previous", "current", "gold")) -> DataFrame:
-    """split, page_id, metric, value: all 18 metrics of versions (split, page_id, html).
+def version_values(versions: DataFrame, splits: tuple[str, ...] = SPLITS) -> DataFrame:
+    """page_id and a column for each metric of each version, ``{split}_{metric}``, of versions (split, page_id, html); null where a version is missing.
 
-    Each version of a page is parsed as a page of its own, if its raw text holds any of the words (or a character reference) without which it has no menu and no page-top link.
+    Values stay in columns: a page is one row from the reading of its versions on, and no row is made for a metric.
+    Each version is parsed as a page of its own, if its raw text holds any of the words (or a character reference) without which it has no menu and no page-top link.
     """
     n = len(splits)
-    number = F.array_position(F.array(*map(F.lit, splits)), F.col("split")) - 1
+    number = (F.array_position(F.array(*map(F.lit, splits)), F.col("split")) - 1).cast("int")
     may = F.lower("html").rlike("menu|メニュー|top|先頭へ|&")
-    parts = common_parts(shred(versions.where(may).select((F.col("page_id") * n + number).alias("page_id"), "html")))
-    name = F.element_at(F.array(*map(F.lit, splits)), (F.pmod(F.col("page_id"), F.lit(n)) + 1).cast("int"))
-    present = parts.select(name.alias("split"), F.floor(F.col("page_id") / n).cast("long").alias("page_id"), F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("menu_present", "pagetop_present")])).alias("m")).select("split", "page_id", "m.metric", "m.value")
-    # the others have none of the parts
-    none = versions.select("split", "page_id", F.explode(F.array(F.lit("menu_present"), F.lit("pagetop_present"))).alias("metric"), F.lit(0).cast("long").alias("value"))
-    present = present.unionByName(none).groupBy("split", "page_id", "metric").agg(F.max("value").alias("value"))
-    return raw_metrics(versions, ["split", "page_id"]).unionByName(present)
+    none = {m: F.lit(0).cast("long") for m in ("menu_present", "pagetop_present")}
+    raw = versions.withColumn("html", F.coalesce("html", F.lit(""))).select("page_id", number.alias("_split"), *[v.alias(m) for m, v in (_raw_values() | none).items()])
+    parts = common_parts(shred(versions.where(may).select((F.col("page_id") * n + number).alias("page_id"), "html"), *PARTS, only=SIGNS))
+    found = parts.select(F.floor(F.col("page_id") / n).cast("long").alias("page_id"), F.pmod(F.col("page_id"), F.lit(n)).cast("int").alias("_split"), *[(F.col(m) if m in none else F.lit(None)).cast("long").alias(m) for m in METRICS])
+    both = raw.select("page_id", "_split", *METRICS).unionByName(found)
+    return both.groupBy("page_id").agg(*[F.max(F.when(F.col("_split") == i, F.col(m))).alias(f"{s}_{m}") for i, s in enumerate(splits) for m in METRICS])
+
+
+def version_metrics(versions: DataFrame, splits: tuple[str, ...] = SPLITS) -> DataFrame:
+    """split, page_id, metric, value: all 18 metrics of versions (split, page_id, html)."""
+    wide = version_values(versions, splits)
+    out = [_long(wide, ["page_id"], {m: F.col(f"{s}_{m}") for m in METRICS}).where("value is not null").select(F.lit(s).alias("split"), "page_id", "metric", "value") for s in splits]
+    return reduce(DataFrame.unionByName, out)
+
+
+def compare_versions(versions: DataFrame) -> DataFrame:
+    """page_id, metric, previous, current, gold, verdict of versions (split, page_id, html)."""
+    table = F.array(*[F.struct(F.lit(m).alias("metric"), *[F.col(f"{s}_{m}").alias(s) for s in SPLITS]) for m in METRICS])
+    out = version_values(versions).select("page_id", F.explode(table).alias("m")).select("page_id", "m.*")
+    return out.withColumn("verdict", verdict(F.col("metric"), F.col("previous"), F.col("current"), F.col("gold")))
 
 
 def duplicate_caption_ids(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from nodeloom.operators import shred, tables
+from nodeloom.operators import compare, shred, tables
 
 COLUMNS = tuple(f.name for f in shred._ARROW)
 
@@ -55,3 +55,14 @@ def test_edits_are_counted_as_they_are_made(spark):
                 found[r.page_id, r.table, kind] = n
     assert found == {(p, t, k.split("_")[0] if k.startswith("orient") else k): n for (p, t, k), n in made.items()}
     assert {k for _, _, k in found} == {"head_col", "body_row", "orient"}
+
+
+def test_versions_are_compared_in_one_row_a_page(spark):
+    pages = [("previous", 1, "<h3>a</h3>"), ("current", 1, "<h3>a</h3><h3>b</h3><a href='#menu'>m</a>"), ("gold", 1, "<h3>a</h3><h3>b</h3>"), ("current", 2, None), ("gold", 2, "<footer>x</footer>")]
+    versions = spark.createDataFrame(pages, "split string, page_id long, html string")
+    wide = {r.page_id: r for r in compare.version_values(versions).collect()}
+    assert (wide[1].previous_h3_count, wide[1].current_h3_count, wide[1].current_menu_present, wide[1].gold_menu_present) == (1, 2, 1, 0)
+    assert (wide[2].previous_h3_count, wide[2].current_h3_count, wide[2].gold_footer_present) == (None, 0, 1)
+    long = compare.compare(compare.version_metrics(versions), "page_id")
+    key = lambda df: sorted(map(tuple, df.select("page_id", "metric", "previous", "current", "gold", "verdict").collect()), key=repr)
+    assert key(compare.compare_versions(versions)) == key(long)
