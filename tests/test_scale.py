@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from nodeloom.operators import compare, shred, tables
+from nodeloom.operators import clean, compare, shred, tables
 
 COLUMNS = tuple(f.name for f in shred._ARROW)
 
@@ -46,7 +46,7 @@ def test_edits_are_counted_as_they_are_made(spark):
     part = lambda tag: f"<{tag}>{''.join(row() for _ in range(rng.randint(0, 3)))}</{tag}>"
     pages = [(i, rng.choice(["", "<h3>お知らせ</h3>"]) + "<table>" + rng.choice(["", "<caption>c</caption>"]) + "".join(rng.choice([part("thead"), part("tbody"), row()]) for _ in range(rng.randint(1, 4))) + "</table>") for i in range(400)]
     whole = shred.shred(spark.createDataFrame(pages, "page_id long, html string")).localCheckpoint()
-    edits = tables._edits(whole, tables.header_plan(whole).select("page_id", "table", "orient", "caption_added", "target", "promote", "body")).where("edit is not null")
+    edits = tables._edits(whole, tables.header_plan(whole)).where("edit is not null")
     made = {(r.page_id, r["_table"], r.edit): r.n for r in edits.groupBy("page_id", "_table", "edit").agg(F.count("*").alias("n")).collect()}
     found = {}
     for r in tables.header_fix(whole).collect():
@@ -57,6 +57,17 @@ def test_edits_are_counted_as_they_are_made(spark):
     assert {k for _, _, k in found} == {"head_col", "body_row", "orient"}
 
 
+def test_repair_joins_pages_not_nodes(spark):
+    pages = spark.createDataFrame([(i, f"<h3>h{i}</h3><table><thead><tr><th>時間</th><th>b</th></tr></thead><tbody><tr><td>a</td><td><table><tr><td>x</td></tr></table></td></tr></tbody></table><p>{i}</p>") for i in range(50)] + [(99, "<p>none</p>"), (None, "<b>x</b>")], "page_id long, html string")
+    plan = tables.header_plan(*tables.header_nodes(pages))
+    written = clean.serialise(clean.marked(tables.planned(shred.shred(tables.with_plans(pages, plan), *clean.REPAIRED))), ordered=True)
+    tree = written._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in tree[: tree.index("Join")]  # what stands above the join of pages
+    expected = clean.serialise(clean.marked(tables.fix_headers(shred.shred(pages))))
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert key(written) == key(expected)
+
+
 def test_versions_are_compared_in_one_row_a_page(spark):
     pages = [("previous", 1, "<h3>a</h3>"), ("current", 1, "<h3>a</h3><h3>b</h3><a href='#menu'>m</a>"), ("gold", 1, "<h3>a</h3><h3>b</h3>"), ("current", 2, None), ("gold", 2, "<footer>x</footer>")]
     versions = spark.createDataFrame(pages, "split string, page_id long, html string")
