@@ -77,3 +77,22 @@ def test_versions_are_compared_in_one_row_a_page(spark):
     long = compare.compare(compare.version_metrics(versions), "page_id")
     key = lambda df: sorted(map(tuple, df.select("page_id", "metric", "previous", "current", "gold", "verdict").collect()), key=repr)
     assert key(compare.compare_versions(versions)) == key(long)
+
+
+@pytest.mark.parametrize("bounded", [False, True])
+def test_pages_are_cleaned_as_their_nodes_are(spark, bounded):
+    rng = random.Random(11)
+    some = [
+        "<p>更新：2024年1月2日</p>", "<div>更新：2024年1月2日<b></b></div>", '<a href="x.pdf">a [PDF：12KB]  b</a>', "<p>BASIC_PARTS_SET note</p>", '<img src="i.png" style="width: 3px; color: red" border=0>', "<graphic>g</graphic>", "PageTop", "<div id='bg'>x<p>y</p></div>",
+        "<h3>電話</h3>", "<table><tr><td><img src=a></td><td>更新：2024年1月2日</td></tr></table>", "<table><thead><tr><th>時間</th><th>b</th></tr></thead><tbody><tr><td>a</td><td><table border=1><tr><td><img></td></tr></table></td></tr></tbody></table>", "<ul><li>footer", "text &amp; more", "<!-- c -->",
+        "<table><tr><td>診療科</td><td>電話</td></tr><tr><td>内科</td><td>0952-12-3456</td></tr></table>", "<table><tr><td colspan=2><iframe src=v></iframe><table><tr><th>q</th></tr></table></td></tr></table>",
+    ]
+    pages = spark.createDataFrame([(i, "".join(rng.choice(some) for _ in range(rng.randint(1, 6)))) for i in range(300)] + [(1000, None), (1001, "")], "page_id long, html string")
+    base = F.lit("http://h/b/c.html") if bounded else None
+    nodes = shred.shred(pages).localCheckpoint()
+    expected = clean.serialise(clean.clean_page(nodes, base) if bounded else clean.pre_clean(nodes))
+    found = clean.clean_pages(pages, base, bounded)
+    tree = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in tree[: tree.index("Join")]  # nothing is shuffled above the join of pages
+    key = lambda df: {r.page_id: r.html for r in df.collect()}
+    assert key(found) == key(expected)
